@@ -16,7 +16,7 @@ from veristream.operators import (
     sampling, similarity, train,
 )
 from veristream.plans.verdict import verdict
-from veristream.session import scratch_path
+from veristream.session import scratch_path, spread
 from veristream.sources import readers, topics, writers
 from veristream.sources.lake import Lake
 from veristream.streaming import jobs
@@ -540,7 +540,8 @@ def screenshot_verdict(spark, sf):
 
 
 def _terms(spark, sf, name="documents", id="doc_id"):
-    t = tb.table(spark, sf, name).select(id, tx.clean_train(F.col("text")).alias("clean"))
+    t = spread(tb.table(spark, sf, name).select(id, "text"))
+    t = t.select(id, tx.clean_train(F.col("text")).alias("clean"))
     return features.terms(t, "clean").drop("clean")
 
 
@@ -558,7 +559,8 @@ def vocabulary(spark, sf):
 
 @query
 def tfidf_long(spark, sf):
-    docs = tb.table(spark, sf, "documents").select("doc_id", tx.clean_train(F.col("text")).alias("clean"))
+    docs = spread(tb.table(spark, sf, "documents").select("doc_id", "text"))
+    docs = docs.select("doc_id", tx.clean_train(F.col("text")).alias("clean"))
     return features.tfidf(docs, "doc_id", "clean", 1000).select(
         "doc_id", "term", F.round("weight", 9).alias("weight")
     )

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veristream.functions import text as tx
+from veristream.functions.planning import compute_once
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -22,7 +23,7 @@ def select_text(df: DataFrame, value: str = "value") -> DataFrame:
     all.  A field counts when its key is there, even if empty.  ``problem`` is
     'not json', 'no text' (chosen value is not a string) or null.
     """
-    staged = df.withColumn("_v", F.try_parse_json(value))
+    staged = compute_once(df, "_v", F.try_parse_json(value))
 
     def field(name: str) -> Column:
         return F.try_variant_get("_v", f"$.{name}", "variant")
@@ -52,7 +53,7 @@ def select_text(df: DataFrame, value: str = "value") -> DataFrame:
 
 def clean_messages(df: DataFrame, value: str = "value") -> DataFrame:
     """``select_text`` plus cleaning of the chosen text."""
-    return select_text(df, value).withColumn("text", tx.strip_tags(F.col("text")))
+    return compute_once(select_text(df, value), "text", tx.strip_tags(F.col("text")))
 
 
 def non_blank(df: DataFrame, column: str = "text") -> DataFrame:

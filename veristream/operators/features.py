@@ -7,14 +7,15 @@ highest total counts as vocabulary.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer,
+    CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer,
 )
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from veristream import fixed_values as fv
+from veristream.functions.planning import compute_once, explode_rows
 
 # A vocabulary up to this many terms is small enough (some MB) to broadcast.
 BROADCAST_TERMS = 100_000
@@ -36,9 +37,8 @@ def _pairs(t: Column) -> Column:
 
 def terms(df: DataFrame, clean: str, out: str = "terms") -> DataFrame:
     """Adds the array of unigrams and bigrams of a cleaned text."""
-    return df.withColumn("_t", tokens(F.col(clean))).withColumn(
-        out, F.concat("_t", _pairs(F.col("_t")))
-    ).drop("_t")
+    words = compute_once(df, "_t", tokens(F.col(clean)))
+    return words.withColumn(out, F.concat("_t", _pairs(F.col("_t")))).drop("_t")
 
 
 def term_stats(docs: DataFrame, terms: str = "terms", copies: str | None = None) -> DataFrame:
@@ -49,14 +49,15 @@ def term_stats(docs: DataFrame, terms: str = "terms", copies: str | None = None)
     how many equal documents a row stands for.
     """
     weight = F.lit(1) if copies is None else F.col(copies)
-    once = F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("t"), F.lit(0).alias("n"), F.lit(1).alias("d")))
-    every = F.transform(terms, lambda t: F.struct(t.alias("t"), F.lit(1).alias("n"), F.lit(0).alias("d")))
-    rows = docs.select(
-        weight.cast("bigint").alias("_w"), F.explode(F.concat(every, once)).alias("_x")
+    # Every document gives two lists: all its terms, and each of them once.
+    lists = docs.select(
+        weight.cast("bigint").alias("_w"),
+        F.posexplode(F.array(F.col(terms), F.array_distinct(terms))).alias("_once", "_list"),
     )
-    return rows.groupBy(F.col("_x.t").alias("term")).agg(
-        F.sum(F.col("_x.n") * F.col("_w")).alias("total"),
-        F.sum(F.col("_x.d") * F.col("_w")).alias("df"),
+    rows = lists.select("_w", "_once", F.explode("_list").alias("term"))
+    return rows.groupBy("term").agg(
+        F.sum(F.when(F.col("_once") == 0, F.col("_w")).otherwise(0)).alias("total"),
+        F.sum(F.when(F.col("_once") == 1, F.col("_w")).otherwise(0)).alias("df"),
     )
 
 
@@ -82,14 +83,15 @@ def tfidf_long(
 ) -> DataFrame:
     """(id, term, df, weight) with unit length per id.
 
-    Documents are shuffled once, as they are and before tokens multiply them;
-    counting and normalising then both work on that partitioning.  ``vocab``
-    has at most ``n_terms`` rows.
+    Counting and normalising both group by id.  Documents that come
+    partitioned by id (``repartition`` before the terms are made, so that texts
+    and not terms are moved) need no other shuffle.  ``vocab`` has at most
+    ``n_terms`` rows.
     """
     chosen = vocab.select("term", "df", "idf")
     if n_terms <= BROADCAST_TERMS:
         chosen = F.broadcast(chosen)
-    exploded = docs.select(id, F.explode(terms).alias("term")).join(chosen, "term")
+    exploded = explode_rows(docs, [id], F.col(terms), "term").join(chosen, "term")
     counted = exploded.groupBy(id, "term", "df", "idf").agg(F.count("*").alias("tf"))
     raw = counted.withColumn("_x", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy(id)))
@@ -100,9 +102,10 @@ def tfidf(
     docs: DataFrame, id: str, clean: str, n_max: int = fv.CLASSIFIER_FEATURES
 ) -> DataFrame:
     """Long TF-IDF of documents over their own vocabulary."""
-    prepared = terms(docs.select(id, clean), clean).drop(clean)
+    # One shuffle of the short side (texts, not terms), shared by both uses.
+    prepared = terms(docs.select(id, clean).repartition(id), clean).drop(clean)
     vocab = idf(vocabulary(term_stats(prepared), n_max), count_docs(docs))
-    return tfidf_long(prepared.repartition(id), vocab, id, n_terms=n_max)
+    return tfidf_long(prepared, vocab, id, n_terms=n_max)
 
 
 def fit_vectorizer(
@@ -111,22 +114,20 @@ def fit_vectorizer(
 ) -> PipelineModel:
     """A saved-and-loadable pipeline from cleaned text to TF-IDF vectors.
 
-    At most ``n_max`` terms come to the driver.
+    The vocabulary with its idf, at most ``n_max`` rows, comes to the driver.
     """
-    stages = Pipeline(stages=[
+    stats = idf(vocabulary(term_stats(terms(df.select(text), text)), n_max), count_docs(df))
+    chosen = stats.select("term", "idf").collect()
+    scaling = DenseVector([row["idf"] for row in chosen])
+    return PipelineModel(stages=[
         RegexTokenizer(
             inputCol=text, outputCol="_uni", pattern="[a-z0-9]{2,}", gaps=False, toLowercase=False
         ),
         NGram(n=2, inputCol="_uni", outputCol="_bi"),
         SQLTransformer(statement="SELECT *, concat(_uni, _bi) AS _terms FROM __THIS__"),
-        CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=n_max, minDF=1.0),
-    ]).fit(df)
-    counted = stages.transform(df)
-    model = IDF(inputCol="_counts", outputCol="_idf").fit(counted)
-    # Spark's idf lacks the '+ 1' of the definition above.
-    scaling = DenseVector(model.idf.toArray() + 1.0)
-    return PipelineModel(stages=[
-        *stages.stages,
+        CountVectorizerModel.from_vocabulary(
+            [row["term"] for row in chosen], inputCol="_terms", outputCol="_counts"
+        ),
         ElementwiseProduct(scalingVec=scaling, inputCol="_counts", outputCol="_weighted"),
         Normalizer(p=2.0, inputCol="_weighted", outputCol=out),
         SQLTransformer(

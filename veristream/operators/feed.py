@@ -68,7 +68,11 @@ def flatten(envelopes: DataFrame, keep: Sequence[str] = (), strict: bool = False
     )
     return rows.select(
         *keep,
-        F.coalesce(tx.non_empty(o("id")), tx.non_empty(o("tweet_id")), content_id).alias("id"),
+        # The last value makes the id non-null for the planner too; else every join on
+        # it would bring an "is not null" filter that parses the JSON once more per field.
+        F.coalesce(
+            tx.non_empty(o("id")), tx.non_empty(o("tweet_id")), content_id, F.lit("")
+        ).alias("id"),
         "timestamp",
         "source",
         "source_type",

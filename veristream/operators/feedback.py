@@ -27,13 +27,13 @@ def _first_per_text(parts: list[DataFrame], order: str) -> DataFrame:
         row = F.col(order).cast("bigint") if order in part.columns else F.lit(0).cast("bigint")
         one = part.select("text", "label_num", F.lit(rank).alias("_part"), row.alias("_row"))
         out = one if out is None else out.unionByName(one)
-    kept = dedup_keep_first(out.dropna(subset=["text"]), ["text"], ["_part", "_row", "label_num"])
+    kept = dedup_keep_first(out, ["text"], ["_part", "_row", "label_num"])
     return kept.select("text", "label_num")
 
 
 def training_set(original: DataFrame, new: DataFrame, order: str = "row_id") -> DataFrame:
     """Original labelled texts and corrections, one row per cleaned text."""
-    cleaned = original.withColumns(
+    cleaned = original.filter(F.col("text").isNotNull()).withColumns(
         {
             "text": tx.clean_train(F.col("text")),
             "label_num": labels.to_code(F.col("final_label")),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veristream import fixed_values as fv, schemas
 from veristream.functions import text as tx
+from veristream.functions.planning import compute_once, explode_rows
 from veristream.functions.times import iso_z, now_z
 
 
@@ -104,7 +105,7 @@ def listing_articles(
     """Articles on listing pages: title, link, date and excerpt of each block."""
     body = F.regexp_replace(html, tx.HIDDEN, "<>")
     blocks = F.regexp_extract_all(body, F.lit(r"(?is)<article\b[^>]*>(.*?)</article\s*>"), 1)
-    posts = pages.select(*keep, F.explode(blocks).alias("_post"))
+    posts = explode_rows(pages, list(keep), blocks, "_post")
     post = F.col("_post")
 
     def inner(tag: str) -> Column:
@@ -117,9 +118,10 @@ def listing_articles(
     ])
     posts = posts.withColumn("_heading", F.coalesce(heading, F.lit("")))
     glued = lambda c: tx._visible_pieces(c, "")
+    posts = compute_once(posts, "title", glued(F.col("_heading"))).filter(F.col("title") != "")
     return posts.select(
         *keep,
-        glued(F.col("_heading")).alias("title"),
+        "title",
         tx.decode_entities(
             F.regexp_extract("_heading", r"""(?is)<a\b[^>]*?\bhref=["']([^"']*)["']""", 1)
         ).alias("link"),
@@ -128,7 +130,7 @@ def listing_articles(
         F.lit(label).alias("label"),
         F.lit(source).alias("source"),
         _now(now).alias("scraped_at"),
-    ).filter(F.col("title") != "")
+    )
 
 
 _ARTICLE_FIELDS = [
@@ -141,12 +143,12 @@ def flatten_pages(df: DataFrame, value: str = "value", keep: Sequence[str] = ())
 
     Values that are not JSON, or hold no list, give no rows.
     """
-    parsed = df.select(*keep, F.try_parse_json(value).alias("_v"))
+    parsed = compute_once(df.select(*keep, value), "_v", F.try_parse_json(value))
     items = F.coalesce(
         F.try_variant_get("_v", "$.data.data", "array<variant>"),
         F.try_variant_get("_v", "$.data", "array<variant>"),
     )
-    rows = parsed.select(*keep, F.explode(items).alias("_a"))
+    rows = explode_rows(parsed, list(keep), items, "_a")
     return rows.select(
         *keep, *[F.try_variant_get("_a", f"$.{f}", "string").alias(f) for f in _ARTICLE_FIELDS]
     )

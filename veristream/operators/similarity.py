@@ -1,12 +1,12 @@
 """Most similar verified hoaxes: cosine of TF-IDF rows, top k above a threshold.
 
-Two unit rows whose cosine reaches the threshold ``t`` must share a term
-outside the commonest part of each row: order every row's terms from rare to
-common and cut off the longest tail with a norm below ``t``; what is left is
-the row's head.  By Cauchy-Schwarz the tails alone cannot reach ``t``, and the
-rarest shared term of a similar pair lies in both heads.  So candidates come
-from an equi-join of heads, which hold few common terms, and only candidates
-are computed in full.  No similar pair is lost.
+The commonest terms have the longest posting lists and say least.  Every
+article's terms are ordered from rare to common and cut in two: the tail is the
+longest run of common terms with a norm below half the threshold ``t``, the
+head is the rest.  A text and an article with cosine >= t have, by
+Cauchy-Schwarz, a dot product over the head of at least t minus the tail's
+norm.  So texts are joined with heads only, the sums give few survivors, and
+the tail is added for those alone.  No similar pair is lost.
 
 Copies are handled once: equal cleaned texts, on either side, are one row of
 the computation.
@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from veristream import fixed_values as fv
 from veristream.functions import text as tx
+from veristream.functions.planning import compute_once
 from veristream.operators import features
-from veristream.session import materialize
+from veristream.session import materialize, spread
 
 _SLACK = 1e-9  # rounding room of the sums, in favour of candidates
 TIE_DIGITS = 9  # similarities equal to this many digits are ties
@@ -72,15 +73,16 @@ def build_index(
     blank = F.lit("")
     given = lambda c: F.coalesce(F.col(c), blank) if c in corpus.columns else blank
     joined = F.concat(given("title"), F.lit(" "), given("body_text"))
-    articles = corpus.select(
+    articles = spread(corpus).select(
         F.col(id).alias("id"),
         given("title").alias("title"),
         given("url").alias("url"),
         given("category").alias("category"),
-        tx.clean_similarity(joined).alias("_clean"),
-    ).filter(F.length("_clean") > 0)
-    articles = _text_key(articles)
-    # Two uses below (statistics, weights): write the short result once.
+        joined.alias("_clean"),
+    )
+    articles = compute_once(articles, "_clean", tx.clean_similarity(F.col("_clean")))
+    # Cleaned once, used for texts, statistics, weights and look-ups.
+    articles = materialize(_text_key(articles.filter(F.length("_clean") > 0)), "similarity-articles")
     distinct = materialize(_distinct_texts(articles), "similarity-texts")
     prepared = features.terms(distinct, "_clean").drop("_clean")
     stats = features.term_stats(prepared, copies="copies")
@@ -98,17 +100,19 @@ def build_index(
     )
 
 
-def _heads(weights: DataFrame, key: str, threshold: float) -> DataFrame:
-    """The terms of each row without its longest tail of norm below threshold."""
+def _cut(weights: DataFrame, key: str, threshold: float) -> DataFrame:
+    """Adds ``_in_tail`` and ``_tail_norm`` to the terms of each row."""
     from_common = (
         Window.partitionBy(key)
         .orderBy(F.col("df").desc(), F.col("term").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    mass = F.sum(F.col("weight") * F.col("weight")).over(from_common)
-    return weights.withColumn("_mass", mass).filter(
-        F.col("_mass") >= threshold * threshold - _SLACK
-    ).select(key, "term")
+    square = F.col("weight") * F.col("weight")
+    marked = weights.withColumn(
+        "_in_tail", F.sum(square).over(from_common) < (threshold / 2) ** 2
+    )
+    tail = F.sum(F.when(F.col("_in_tail"), square).otherwise(0.0)).over(Window.partitionBy(key))
+    return marked.withColumn("_tail_norm", F.sqrt(tail))
 
 
 def topk(
@@ -126,33 +130,43 @@ def topk(
     """
     if threshold <= 0:
         raise ValueError("threshold must be above 0")
-    asked = _text_key(
-        queries.select(F.col(id).alias("query_id"), tx.clean_similarity(F.col(text)).alias("_clean"))
-    ).filter(F.length("_clean") > 0)
+    texts = spread(queries.select(F.col(id).alias("query_id"), F.col(text).alias("_text")))
+    cleaned = compute_once(texts, "_clean", tx.clean_similarity(F.col("_text"))).drop("_text")
+    keyed = compute_once(
+        cleaned.filter(F.length("_clean") > 0), "text_key", F.sha2("_clean", 256)
+    )
+    asked = materialize(keyed, "similarity-asked")
     distinct = _distinct_texts(asked).withColumnRenamed("text_key", "query_key")
     prepared = features.terms(distinct, "_clean").select("query_key", "terms")
-    # Read three times below: heads, products, and the shuffle sizes of both.
+    # Read twice below: against the heads, and for the survivors' tails.
     q = materialize(
         features.tfidf_long(
             prepared.repartition("query_key"), index.vocabulary, "query_key", n_terms=index.n_terms
-        ),
+        ).select("query_key", "term", F.col("weight").alias("_wq")),
         "similarity-queries",
     )
-    c = index.weights
-    candidates = (
-        _heads(q, "query_key", threshold)
-        .join(_heads(c, "text_key", threshold), "term")
-        .select("query_key", "text_key")
-        .distinct()
+    cut = _cut(index.weights, "text_key", threshold)
+    product = F.col("_wq") * F.col("weight")
+    survivors = (
+        q.join(cut.filter(~F.col("_in_tail")), "term")
+        .groupBy("query_key", "text_key")
+        .agg(F.sum(product).alias("_head"), F.first("_tail_norm").alias("_tail_norm"))
+        .filter(F.col("_head") + F.col("_tail_norm") >= threshold - _SLACK)
+        .select("query_key", "text_key", "_head")
     )
-    cw = c.select("text_key", "term", F.col("weight").alias("_wc"))
-    qw = q.select("query_key", "term", F.col("weight").alias("_wq"))
-    similar = (
-        candidates.join(cw, "text_key")
-        .join(qw, ["query_key", "term"])
+    survivors = materialize(survivors, "similarity-survivors")
+    tails = (
+        survivors.select("query_key", "text_key")
+        .join(cut.filter("_in_tail").select("text_key", "term", "weight"), "text_key")
+        .join(q, ["query_key", "term"])
         .groupBy("query_key", "text_key")
-        .agg(F.sum(F.col("_wq") * F.col("_wc")).alias("_sim"))
+        .agg(F.sum(product).alias("_tail"))
+    )
+    similar = (
+        survivors.join(tails, ["query_key", "text_key"], "left")
+        .withColumn("_sim", F.col("_head") + F.coalesce("_tail", F.lit(0.0)))
         .filter(F.round("_sim", TIE_DIGITS) >= threshold)
+        .select("query_key", "text_key", "_sim")
     )
     # Of articles with one text only the first k can be among the top k.
     same_text = Window.partitionBy("text_key").orderBy("id")

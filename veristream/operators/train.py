@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from veristream import fixed_values as fv
 from veristream.functions import labels, scoring, text as tx
 from veristream.operators import features
+from veristream.session import spread
 from veristream.sources import files
 
+ROWS_PER_TASK = 5_000
+
 
 def prepare(df: DataFrame, text: str = "text", label: str = "final_label") -> DataFrame:
     """(text_clean, label_num) for training."""
@@ -40,14 +43,17 @@ def fit(
     The penalty is ½|w|² against the summed weighted loss.  Balanced weights
     sum to the number of rows, and Spark minimises the mean loss, hence 1/n.
     """
-    vectorizer = features.fit_vectorizer(df, n_max=n_max)
-    weights = F.broadcast(class_weights(df).select("label_num", "weight"))  # a row per class
-    rows = vectorizer.transform(df).join(weights, "label_num")
-    rows = rows.select("features", F.col("label_num").cast("double").alias("label"), "weight")
-    # The solver passes over the rows many times.
-    rows = rows.persist()
+    # Vectoriser and solver pass over the (balanced, so bounded) rows many times.
+    df = spread(df.select("text_clean", "label_num")).persist()
     try:
-        n = rows.count()
+        vectorizer = features.fit_vectorizer(df, n_max=n_max)
+        weights = F.broadcast(class_weights(df).select("label_num", "weight"))  # a row per class
+        rows = vectorizer.transform(df).join(weights, "label_num")
+        rows = rows.select("features", F.col("label_num").cast("double").alias("label"), "weight")
+        n = df.count()
+        # Every step of the solver is a job: few large partitions, not many small ones.
+        parts = df.rdd.getNumPartitions()
+        rows = rows.coalesce(max(1, min(parts, n // ROWS_PER_TASK))).persist()
         lr = LogisticRegression(
             family="multinomial",
             maxIter=max_iter,
@@ -58,8 +64,9 @@ def fit(
             weightCol="weight",
         )
         model = lr.fit(rows)
-    finally:
         rows.unpersist()
+    finally:
+        df.unpersist()
     return PipelineModel(stages=[*vectorizer.stages, model])
 
 

@@ -58,7 +58,12 @@ def load_feed(envelopes: DataFrame, table: str, checkpoint: str, trigger=NOW):
     """
 
     def insert(batch: DataFrame, _id: int) -> None:
-        feed.insert_ignore(feed.flatten(en.parse_envelope(batch)), table)
+        # Used twice by the insert: its rows, and its ids against the table.
+        rows = feed.flatten(en.parse_envelope(batch)).persist()
+        try:
+            feed.insert_ignore(rows, table)
+        finally:
+            rows.unpersist()
 
     return (
         envelopes.writeStream.foreachBatch(insert)
