@@ -144,10 +144,9 @@ def snapshot(df: DataFrame, n: int = 6, now: Column | None = None) -> DataFrame:
         F.count_distinct("source").alias("active_sources"),
     )
     hours = base.groupBy("hour").agg(F.sum("n").alias("value"))
-    hours = hours.filter(F.col("hour").isNotNull()).agg(
-        F.sort_array(
-            F.collect_list(F.struct(F.col("hour").alias("label"), F.col("value")))
-        ).alias("hourly_volume")
+    point = F.struct(F.col("hour").alias("label"), F.col("value"))
+    hours = hours.agg(
+        F.sort_array(F.collect_list(F.when(F.col("hour").isNotNull(), point))).alias("hourly_volume")
     )
     named = F.coalesce(tx.non_empty(F.col("source")), F.lit("Unknown"))
     risky = (

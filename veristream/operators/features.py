@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
-    CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer,
+    CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer,
 )
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -119,18 +119,23 @@ def fit_vectorizer(
     stats = idf(vocabulary(term_stats(terms(df.select(text), text)), n_max), count_docs(df))
     chosen = stats.select("term", "idf").collect()
     scaling = DenseVector([row["idf"] for row in chosen])
+    # A lateral view of one row makes its column once; else every later stage
+    # that uses the column would compute it again.
+    words = f"regexp_extract_all({text}, '[a-z0-9]{{2,}}', 0)"
+    short = "greatest(size(_uni) - 1, 0)"
+    pairs = f"zip_with(slice(_uni, 1, {short}), slice(_uni, 2, {short}), (a, b) -> concat(a, ' ', b))"
     return PipelineModel(stages=[
-        RegexTokenizer(
-            inputCol=text, outputCol="_uni", pattern="[a-z0-9]{2,}", gaps=False, toLowercase=False
+        SQLTransformer(
+            statement=f"SELECT * EXCEPT (_uni) FROM __THIS__ LATERAL VIEW explode(array({words})) u AS _uni "
+            f"LATERAL VIEW explode(array(concat(_uni, {pairs}))) t AS _terms"
         ),
-        NGram(n=2, inputCol="_uni", outputCol="_bi"),
-        SQLTransformer(statement="SELECT *, concat(_uni, _bi) AS _terms FROM __THIS__"),
         CountVectorizerModel.from_vocabulary(
             [row["term"] for row in chosen], inputCol="_terms", outputCol="_counts"
         ),
         ElementwiseProduct(scalingVec=scaling, inputCol="_counts", outputCol="_weighted"),
-        Normalizer(p=2.0, inputCol="_weighted", outputCol=out),
+        Normalizer(p=2.0, inputCol="_weighted", outputCol="_unit"),
         SQLTransformer(
-            statement="SELECT * EXCEPT (_uni, _bi, _terms, _counts, _weighted) FROM __THIS__"
+            statement="SELECT * EXCEPT (_terms, _counts, _weighted, _unit) FROM __THIS__ "
+            f"LATERAL VIEW explode(array(_unit)) f AS {out}"
         ),
     ])

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veristream import fixed_values as fv, schemas
 from veristream.operators import curate, sampling
-from veristream.sources import readers, writers
+from veristream.sources import files, readers, writers
 from veristream.sources.lake import Lake
 
 BRONZE = {name: f"{name}_data" for name in fv.SILVER_ORDER}
@@ -22,15 +22,10 @@ def build_bronze(spark: SparkSession, lake: Lake, raw: Mapping[str, DataFrame])
 
 def raw_sources(spark: SparkSession, folder: str, n_synthetic: int = fv.SYNTHETIC_ROWS_PER_CLASS):
     """Raw tables from a folder of downloaded files; absent sources are left out."""
-    from veristream.sources import files
-
     out = {"synthetic": curate.expand_templates(spark, n_synthetic)}
     sms = f"{folder}/dataset_sms_spam_v1.csv"
     if files.exists(spark, sms):
-        from pyspark.sql import functions as F, types as T
-
-        schema = T.StructType.fromDDL("Teks string, label int")
-        out["sms"] = readers.read_csv(spark, sms, schema).withColumn("source", F.lit("sms_spam_v1"))
+        out["sms"] = readers.read_csv(spark, sms, schemas.SMS).withColumn("source", F.lit("sms_spam_v1"))
     for name, glob, prefix in [
         ("kaggle", f"{folder}/kaggle/Cleaned/*.csv", "kaggle_"),
         ("vijayandika", f"{folder}/kaggle/RAW/{{turnbackhoax,vijayandika*}}.csv", "vijayandika_"),
@@ -39,8 +34,6 @@ def raw_sources(spark: SparkSession, folder: str, n_synthetic: int = fv.SYNTHETI
             out[name] = readers.read_glob(spark, glob, "csv", prefix)
     komdigi = f"{folder}/komdigi/komdigi_hoaks_latest.csv"
     if files.exists(spark, komdigi):
-        from pyspark.sql import functions as F
-
         out["komdigi"] = readers.read_csv(spark, komdigi, schemas.HOAX_ARTICLE).withColumn(
             "source", F.lit("komdigi_api")
         )

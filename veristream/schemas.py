@@ -1,86 +1,84 @@
-"""Record contracts of the pipeline, as Spark schemas."""
+"""Record contracts of the pipeline, as Spark schemas.
+
+Built from type objects, so importing this needs no running session.
+"""
 
 from pyspark.sql import types as T
 
+TEXT, INT, LONG, REAL, BOOL = (
+    T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType(),
+)
+TEXTS = T.ArrayType(TEXT)
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
 
+def _record(text: str = "", **typed) -> T.StructType:
+    """Text fields by name, in order; other types by keyword.
 
-SCORES_DDL = "struct<Valid:double,Hoaks:double,Penipuan:double,Netral:double>"
-ENTITIES_DDL = (
-    "struct<nomor_hp:array<string>,rekening:array<string>,links:array<string>>"
-)
+    A name in ``text`` that is also a keyword takes the keyword's type.
+    """
+    names = text.split() + [n for n in typed if n not in text.split()]
+    return T.StructType([T.StructField(n, typed.get(n, TEXT)) for n in names])
 
-RSS_RAW = _ddl(
-    "source string, category string, title string, link string, description string, "
-    "published_at string, ingested_at string"
-)
-RSS_ITEM = _ddl(
-    "title string, link string, summary string, description string, pubDate string"
-)
-CHAT_RAW = _ddl(
-    "channel_name string, sender_id string, message string, sent_at string, ingested_at string"
-)
-POST_RAW = _ddl(
-    "tweet_id string, source string, category string, username string, text string, "
-    "label_ground_truth string, scam_type string, entities map<string,array<string>>, "
-    "account_age_days int, metrics struct<likes:int,retweets:int,replies:int,views:int>, "
-    "tweeted_at string, ingested_at string"
-)
-FACT_ARTICLE = _ddl(
-    "title string, link string, date string, excerpt string, label string, source string, "
-    "scraped_at string"
-)
+
+SCORES = _record(Valid=REAL, Hoaks=REAL, Penipuan=REAL, Netral=REAL)
+ENTITIES = _record(nomor_hp=TEXTS, rekening=TEXTS, links=TEXTS)
+
+RSS_RAW = _record("source category title link description published_at ingested_at")
+RSS_ITEM = _record("title link summary description pubDate")
+CHAT_RAW = _record("channel_name sender_id message sent_at ingested_at")
+POST_RAW = _record(
+    "tweet_id source category username text label_ground_truth scam_type entities "
+    "account_age_days metrics tweeted_at ingested_at",
+    entities=T.MapType(TEXT, TEXTS),
+    account_age_days=INT,
+    metrics=_record(likes=INT, retweets=INT, replies=INT, views=INT),
+)
+FACT_ARTICLE = _record("title link date excerpt label source scraped_at")
 FACT_ARTICLE_CSV_COLUMNS = [
     "title", "excerpt", "label", "source", "date", "link", "scraped_at",
 ]
-HOAX_ARTICLE = _ddl(
-    "title string, body_text string, published_at string, category string, tags string, "
-    "topics string, url string, label string, source string"
-)
-OCR_RESULT = _ddl(
-    "kategori string, alasan string, text string, filename string, "
-    "entitas_penipu struct<nomor_hp:string,rekening:string>"
+HOAX_ARTICLE = _record("title body_text published_at category tags topics url label source")
+OCR_RESULT = _record(
+    "kategori alasan text filename", entitas_penipu=_record("nomor_hp rekening")
 )
-OCR_REPLY = _ddl(
-    "kategori string, alasan string, text string, "
-    "entitas_penipu struct<nomor_hp:string,rekening:string,bank:string,"
-    "nama_pemilik:string,links:array<string>>"
+OCR_REPLY = _record(
+    "kategori alasan text",
+    entitas_penipu=_record("nomor_hp rekening bank nama_pemilik", links=TEXTS),
 )
-ANALYSIS_DDL = (
-    "struct<score:double,label:string,reason:string,category:string,sentiment:string,"
-    "is_sensational:boolean,ai_generated_flag:boolean,processing_time_ms:int,"
-    "recommendation:string>"
-)
-ENVELOPE = _ddl(
-    f"original_data string, source_topic string, analysis {ANALYSIS_DDL}"
+ANALYSIS = _record(
+    "score label reason category sentiment is_sensational ai_generated_flag "
+    "processing_time_ms recommendation",
+    score=REAL, is_sensational=BOOL, ai_generated_flag=BOOL, processing_time_ms=INT,
 )
+ENVELOPE = _record("original_data source_topic", analysis=ANALYSIS)
 # Every field a producer may send that the feed loader looks at.
-ORIGINAL = _ddl(
-    "id string, tweet_id string, timestamp string, tweeted_at string, date string, "
-    "pubDate string, published_at string, sent_at string, source string, "
-    "channel_name string, title string, description string, message string, text string, "
-    "link string, url string, category string"
-)
-LIVE_FEED = _ddl(
-    "id string, timestamp string, source string, source_type string, text_snippet string, "
-    "label string, confidence double, topic string, url string, inserted_at timestamp"
-)
-LABELED_TEXT = _ddl("text string, final_label string, source string")
-PREDICTION_LOG = _ddl(f"text string, label string, scores {SCORES_DDL}")
-FEEDBACK_LOG = _ddl("text string, correct_label string")
-TRAINING_POOL = _ddl("text string, label_num int")
-SCAM_RECORD = _ddl(
-    "id string, identifier_type string, identifier_value string, owner_name string, "
-    "source string, report_count int, status string, notes string, created_at string, "
-    "updated_at string"
-)
-REGISTRY_CHANGE = _ddl(
-    "op string, id string, seq bigint, set_fields array<string>, "
-    "row struct<identifier_type:string,identifier_value:string,owner_name:string,"
-    "source:string,report_count:int,status:string,notes:string>, at string"
-)
-MANIFEST = _ddl(
-    "downloaded_at string, total_articles bigint, source string, label string"
-)
+ORIGINAL = _record(
+    "id tweet_id timestamp tweeted_at date pubDate published_at sent_at source channel_name "
+    "title description message text link url category"
+)
+LIVE_FEED = _record(
+    "id timestamp source source_type text_snippet label confidence topic url inserted_at",
+    confidence=REAL, inserted_at=T.TimestampType(),
+)
+LABELED_TEXT = _record("text final_label source")
+PREDICTION_LOG = _record("text label", scores=SCORES)
+FEEDBACK_LOG = _record("text correct_label")
+TRAINING_POOL = _record("text", label_num=INT)
+SCAM_RECORD = _record(
+    "id identifier_type identifier_value owner_name source report_count status notes "
+    "created_at updated_at",
+    report_count=INT,
+)
+REGISTRY_CHANGE = _record(
+    "op id seq set_fields row at",
+    seq=LONG,
+    set_fields=TEXTS,
+    row=_record(
+        "identifier_type identifier_value owner_name source report_count status notes",
+        report_count=INT,
+    ),
+)
+STORED_FEEDBACK = _record("text", label_num=INT, batch=LONG)
+TRAINED_BATCH = _record(batch=LONG)
+SMS = _record("Teks", label=INT)
+MANIFEST = _record("downloaded_at total_articles source label", total_articles=LONG)

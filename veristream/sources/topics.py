@@ -56,7 +56,7 @@ def _from_folder(lines: DataFrame, topics) -> DataFrame:
 
 
 def read_topics_bounded(
-    spark: SparkSession, topics: Sequence[str], bootstrap: str | None = None, folder: str | None = None
+    spark: SparkSession, topics: Sequence[str] = tuple(fv.INPUT_TOPICS), bootstrap: str | None = None, folder: str | None = None
 ) -> DataFrame:
     """All messages from the earliest to the last one present, as a batch."""
     if bootstrap:

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from veristream import schemas
 from veristream.operators import enrich as en, feed
+from veristream.operators.feedback import codes
 from veristream.plans.verdict import verdict
-from veristream.sources import topics
+from veristream.sources import readers, topics
 
 NOW = {"availableNow": True}
 
@@ -116,18 +117,14 @@ def feedback_trigger(feedback: DataFrame, n: int, retrain: Callable[[], object],
     The count of rows not yet trained on is kept as files: a batch is stored
     under its number (so a replay replaces it) until a training uses it.
     """
-    from veristream.operators.feedback import codes
-
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         rows = codes(batch).withColumn("batch", F.lit(batch_id).cast("bigint"))
         rows.write.mode("overwrite").partitionBy("batch").parquet(f"{pool}/rows")
-        stored = spark.read.schema(
-            "text string, label_num int, batch bigint"
-        ).parquet(f"{pool}/rows")
-        last = spark.read.schema("batch bigint").parquet(f"{pool}/trained") if _there(spark, f"{pool}/trained") else None
-        since = -1 if last is None else last.agg(F.max("batch")).first()[0]
+        stored = spark.read.schema(schemas.STORED_FEEDBACK).parquet(f"{pool}/rows")
+        trained = readers.first_existing(spark, [f"{pool}/trained"], schemas.TRAINED_BATCH)
+        since = trained.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
         if stored.filter(F.col("batch") > since).count() >= n:
             retrain()
             spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch")).write.mode(
@@ -142,12 +139,6 @@ def feedback_trigger(feedback: DataFrame, n: int, retrain: Callable[[], object],
     )
 
 
-def _there(spark, path: str) -> bool:
-    from veristream.sources import files
-
-    return files.exists(spark, path)
-
-
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger=NOW, mode: str = "append"):
     """Append a stream to a Parquet folder."""
     return (
