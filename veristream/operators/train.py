@@ -13,7 +13,7 @@ from veristream.operators import features
 from veristream.session import spread
 from veristream.sources import files
 
-ROWS_PER_TASK = 5_000
+ROWS_PER_TASK = 1_000
 
 
 def prepare(df: DataFrame, text: str = "text", label: str = "final_label") -> DataFrame:
