@@ -159,3 +159,11 @@ def test_resume_summary(spark):
     done = spark.createDataFrame([("c",)], "filename string")
     assert tuple(curate.run_summary(df, done, "filename").first()) == (3, 1, 1, 2)
     assert curate.pick_column(spark.createDataFrame([("a", "b")], "x string, judul string")) == "judul"
+
+
+def test_no_cross_joins(spark):
+    """Dashboard plans hold no nested-loop or Cartesian join."""
+    df = spark.createDataFrame([], schemas.LIVE_FEED)
+    for q in (dash.hourly_volume(df), dash.risk_sources(df), dash.snapshot(df), dash.label_counts(df)):
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -25,15 +25,16 @@ def between(df: DataFrame, start: str | None = None, end: str | None = None) ->
 def _points(df: DataFrame, empty_label: str) -> DataFrame:
     """(label, value) rows; one zero point where there are none.
 
-    The zero point rides along in an outer join on a constant key.
+    Points are few by nature (hours of a day, a top list), so they pass through
+    one list.
     """
-    spark = df.sparkSession
-    zero = spark.range(1).select(F.lit(1).alias("_k"))
-    keyed = df.withColumn("_k", F.lit(1))
-    return zero.join(keyed, "_k", "left").select(
-        F.coalesce("label", F.lit(empty_label)).alias("label"),
-        F.coalesce("value", F.lit(0)).cast("bigint").alias("value"),
-    )
+    points = df.agg(F.collect_list(F.struct("label", "value")).alias("_p"))
+    return points.select(F.inline(_or_zero_point("_p", empty_label)))
+
+
+def _or_zero_point(points: str, empty_label: str) -> Column:
+    zero = F.struct(F.lit(empty_label).alias("label"), F.lit(0).cast("bigint").alias("value"))
+    return F.when(F.size(points) > 0, F.col(points)).otherwise(F.array(zero))
 
 
 def total(df: DataFrame) -> DataFrame:
@@ -170,10 +171,6 @@ def snapshot(df: DataFrame, n: int = 6, now: Column | None = None) -> DataFrame:
     row = parts.agg(*[F.any_value(c, True).alias(c) for c in parts.columns])
     known = sum((F.col(k) for k in fv.LABELS[1:]), F.col(fv.LABELS[0]))
 
-    def filled(name: str, label: str) -> Column:
-        zero = F.array(F.struct(F.lit(label).alias("label"), F.lit(0).cast("bigint").alias("value")))
-        return F.when(F.size(name) > 0, F.col(name)).otherwise(zero).alias(name)
-
     return row.select(
         "total_messages_today",
         F.col("Hoaks").alias("hoax_detected_today"),
@@ -186,6 +183,6 @@ def snapshot(df: DataFrame, n: int = 6, now: Column | None = None) -> DataFrame:
         ).alias("hoax_vs_valid_percent"),
         "active_sources",
         (times.now_z() if now is None else now).alias("last_updated"),
-        filled("hourly_volume", "00"),
-        filled("risk_scatter", "None"),
+        _or_zero_point("hourly_volume", "00").alias("hourly_volume"),
+        _or_zero_point("risk_scatter", "None").alias("risk_scatter"),
     )

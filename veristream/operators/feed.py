@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from veristream import fixed_values as fv, schemas
 from veristream.functions import labels, text as tx, times
-from veristream.session import scratch_path
 
 
 def source_type(topic: Column) -> Column:
@@ -126,7 +127,9 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def _swap(spark: SparkSession, table: str, df: DataFrame, observed: Observation) -> int:
-    path = scratch_path(spark, table.replace(".", "_"))
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    old = next(row["data_type"] for row in details if row["col_name"] == "Location")
+    path = f"{re.sub('[.]v-[0-9a-f]+$', '', old.rstrip('/'))}.v-{uuid.uuid4().hex}"
     df.write.parquet(path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)

@@ -31,16 +31,21 @@ def build_session(app: str = "veristream", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Only where the session names none (tests, laptops) a temporary folder is
-    made and set on the session, so later calls share it.
+    made, one per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="veristream-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_ROOTS:
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="veristream-")
+        root = _OWN_ROOTS[app]
     return root.rstrip("/")
 
 
