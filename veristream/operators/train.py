@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veristream import fixed_values as fv
 from veristream.functions import labels, scoring, text as tx
 from veristream.operators import features
-from veristream.session import spread
+from veristream.session import scratch_path, spread
 from veristream.sources import files
 
 ROWS_PER_TASK = 1_000
@@ -67,7 +67,11 @@ def fit(
         rows.unpersist()
     finally:
         df.unpersist()
-    return PipelineModel(stages=[*vectorizer.stages, model])
+    # A freshly fitted model holds on to its training table and session, and its scoring
+    # functions would take both to the tasks; a stored one holds the coefficients only.
+    path = scratch_path(df.sparkSession, "classifier")
+    model.write().save(path)
+    return PipelineModel(stages=[*vectorizer.stages, LogisticRegressionModel.load(path)])
 
 
 def predict(df: DataFrame, model: PipelineModel, clean: str = "text_clean") -> DataFrame:
