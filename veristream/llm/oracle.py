@@ -2,4 +2,6 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from veristream.llm import line_dedup, mixing
+
+ORACLE: dict[str, str] = {"op3_line_dedup": line_dedup.SQL, "op8_mixing": mixing.SQL}

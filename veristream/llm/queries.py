@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from veristream.llm import bpe, quality_rules, secret_scan, toxicity
+from veristream.llm import bpe, line_dedup, mixing, quality_rules, secret_scan, toxicity
 from veristream.llm.common import table
 
 QUERIES = {}
@@ -41,3 +41,14 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    out = line_dedup.dedup(table(spark, sf, "documents"))
+    return out.select("doc_id", F.col("_ld_lines").alias("n_lines"), F.col("_ld_removed").alias("n_removed"), "text")
+
+
+@query
+def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf, "documents"))
