@@ -74,7 +74,10 @@ def mix(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     if last is None:
         times = F.lit(0)
     else:
-        end = F.struct(F.lit(last["v"]), F.lit(last["rank"]), F.lit(last["turn"]), F.lit(last["place"]))
+        end = F.struct(
+            F.lit(last["v"]).cast("double").alias("v"), F.lit(last["rank"]).cast("long").alias("rank"),
+            F.lit(last["turn"]).cast("int").alias("turn"), F.lit(last["place"]).cast("long").alias("idx"),
+        )
         times = sum(F.when((F.col("size") > 0) & (item(k) <= end), 1).otherwise(0) for k in range(MOST))
     return placed.select("doc_id", *keep, "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"))
 
