@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from veristream.session import materialize
+from veristream.session import scratch_path
 
 __all__ = ["WORD", "SPACE", "materialize", "table", "sha", "slices", "per_text", "shuffle_partitions", "words"]
 
@@ -23,6 +23,17 @@ words = re.compile(WORD).findall
 CHARS = 2_000_000
 
 
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+    """``df`` written to the shared folder that the cluster names, and read back.
+
+    Cuts the lineage so that lost executors cost no more than the tasks they ran.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
