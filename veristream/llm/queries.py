@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from veristream.llm import bpe, chat_format, line_dedup, mixing, quality_rules, secret_scan, token_counts, toxicity
+from veristream.llm import bpe, chat_format, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, token_counts, toxicity
 from veristream.llm.common import table
 
 QUERIES = {}
@@ -74,3 +74,8 @@ def op6_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"), F.lit(HOSTILE).alias("text"),
     )
     return chat_format.read_back(chat_format.windows(given.unionByName(more)))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf, "documents"))
