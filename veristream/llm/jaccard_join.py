@@ -29,7 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from veristream.llm.common import WordHash, materialize, mix64, per_text, runs, shuffle_partitions, slices
 from veristream.llm.graph import components
@@ -39,8 +39,10 @@ WIDTH = 5
 PERCENT = 80
 #: A shingle that this part of all documents hold is not gathered.
 COMMON = 64
-#: Documents in a region that are compared pair by pair after the first pivots.
-SMALL = 24
+#: Documents in a region up to which it isn't divided further.
+SMALL = 64
+#: Documents in a block of a larger one.
+BLOCK = 256
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -257,49 +259,67 @@ def _common_sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 def _recurse(member: DataFrame, known: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
     """Links between components, from regions that still hold several."""
-    spark, found, rounds = member.sparkSession, None, 0
     ring = known.select(
         F.col("a").alias("pivot"), F.col("b").alias("doc"), (1 - F.col("same") / (F.col("na") + F.col("nb") - F.col("same"))).alias("d")
     )
     # (region, document, distance to its first pivot); pairs too unlike in size were not measured: null
     rest = member.where("doc <> pivot").join(ring, ["pivot", "doc"], "left").join(sets.select("doc", "n"), "doc").select("key", "doc", "n", "d")
-    reach = 1 - PERCENT / 100 + 1e-9
-    while True:
+    found = None
+    for step in range(2):
         rest = rest.join(label.withColumnRenamed("id", "doc"), "doc", "left").withColumn("of", F.coalesce("component", "doc")).drop("component")
         several = rest.groupBy("key").agg(F.min("of").alias("lo"), F.max("of").alias("hi"), F.count("*").alias("size"), F.min("doc").alias("next")).where("lo < hi")
-        rest = materialize(rest.join(several.select("key", "size", "next"), "key"), f"open{rounds}")
-        small = F.col("size") <= SMALL
-        one, two = rest.where(small), rest.where(small)
-        cols = lambda df, s: df.select(*[F.col(c).alias(c if c == "key" else c + s) for c in ("key", "doc", "n", "d", "of")])
-        near = (
-            (F.col("of_1") != F.col("of_2")) & (F.col("doc_1") < F.col("doc_2"))
-            & (100 * F.least("n_1", "n_2") >= PERCENT * F.greatest("n_1", "n_2"))
-            & F.coalesce(F.abs(F.col("d_1") - F.col("d_2")) <= reach, F.lit(True))
-        )
-        close = cols(one, "_1").join(cols(two, "_2"), "key").where(near).select(F.col("doc_1").alias("a"), F.col("doc_2").alias("b"))
-        large = rest.where(~small)
-        pivot = large.where("doc = next").select("key", F.col("doc").alias("p"), F.col("n").alias("pn"), F.col("d").alias("pd"), F.col("of").alias("pof"))
-        far = large.join(pivot, "key").where(
-            (F.col("doc") != F.col("p")) & (F.col("of") != F.col("pof")) & (100 * F.least("n", "pn") >= PERCENT * F.greatest("n", "pn"))
-            & F.coalesce(F.abs(F.col("d") - F.col("pd")) <= reach, F.lit(True))
-        ).select(F.least("p", "doc").alias("a"), F.greatest("p", "doc").alias("b"))
-        pairs = close.unionByName(far).distinct()
-        new = materialize(
-            _distances(pairs, sets).where(_similar(F.col("same"), F.col("na"), F.col("nb"))).select("a", "b"), f"found{rounds}"
-        )
-        found = new if found is None else found.unionByName(new)
+        rest = materialize(rest.join(several.select("key", "size", "next"), "key"), f"open{step}")
+        small, large = rest.where(F.col("size") <= SMALL), rest.where(F.col("size") > SMALL)
+        pairs = _near(small, small)
+        if step == 0:
+            pairs = pairs.unionByName(_near(large, large.where("doc = next")))
+        links = _distances(pairs.distinct(), sets).where(_similar(F.col("same"), F.col("na"), F.col("nb"))).select("a", "b")
+        if step == 1:
+            return found.unionByName(links).unionByName(_blocks(large, sets))
+        found = materialize(links, "found")
         rest = large.where("doc <> next").select("key", "doc", "n", "d")
-        rounds += 1
-        if rest.isEmpty():
-            return found
-        # components so far: of the links between components, seen as links between their names
-        name = label.withColumnRenamed("id", "doc")
-        named = lambda c: F.coalesce(F.col(f"c{c}"), F.col(c))
-        between = (
-            found.join(name.select(F.col("doc").alias("a"), F.col("component").alias("ca")), "a", "left")
-            .join(name.select(F.col("doc").alias("b"), F.col("component").alias("cb")), "b", "left")
-        )
-        links = between.select(named("a").alias("a"), named("b").alias("b")).unionByName(
-            label.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        )
-        label = materialize(components(links), f"labels{rounds}")
+        label = materialize(components(found.unionByName(label.select(F.col("id").alias("a"), F.col("component").alias("b")))), "more")
+
+
+def _near(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of a region that are in different components and that neither size nor triangle inequality rules out."""
+    reach = 1 - PERCENT / 100 + 1e-9
+    named = lambda df, k: df.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("doc", "n", "d", "of")])
+    return named(left, 1).join(named(right, 2), "key").where(
+        (F.col("of_1") != F.col("of_2")) & (100 * F.least("n_1", "n_2") >= PERCENT * F.greatest("n_1", "n_2"))
+        & F.coalesce(F.abs(F.col("d_1") - F.col("d_2")) <= reach, F.lit(True))
+    ).select(F.least("doc_1", "doc_2").alias("a"), F.greatest("doc_1", "doc_2").alias("b"))
+
+
+def _blocks(large: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links between components in regions of any size: blocks against blocks, on arrays."""
+    parts = F.ceil(F.col("size") / block).cast("int")
+    rows = large.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    rows = rows.join(sets.select("doc", "keys"), "doc")
+    one = rows.select("key", F.col("mine").alias("i"), F.explode(F.sequence("mine", F.col("parts") - 1)).alias("j"), F.lit(1).alias("side"), "doc", "n", "of", "keys")
+    two = rows.select("key", F.explode(F.sequence(F.lit(0), "mine")).alias("i"), F.col("mine").alias("j"), F.lit(2).alias("side"), "doc", "n", "of", "keys")
+
+    def compare(table: pa.Table) -> pa.Table:
+        col = {c: table.column(c).to_numpy() for c in ("side", "doc", "n", "of")}
+        sets_ = [np.asarray(k, np.int64) for k in table.column("keys").to_pylist()]
+        left, right = np.flatnonzero(col["side"] == 1), np.flatnonzero(col["side"] == 2)
+        a, b = [], []
+        if len(left) and len(right):
+            flat = np.concatenate([sets_[i] for i in right])
+            start = np.cumsum([0, *[len(sets_[i]) for i in right[:-1]]])
+            names, flat = np.unique(flat, return_inverse=True)
+            here = np.zeros(len(names) + 1, np.int32)
+            n, of = col["n"][right], col["of"][right]
+            for i in left:
+                at = np.minimum(np.searchsorted(names, sets_[i]), len(names) - 1)
+                at = at[names[at] == sets_[i]]
+                here[at] = 1
+                same = np.add.reduceat(here[flat], start)
+                here[at] = 0
+                linked = np.flatnonzero((100 * same >= PERCENT * (n + col["n"][i] - same)) & (of != col["of"][i]))
+                _, first = np.unique(of[linked], return_index=True)  # one link to each component will do
+                a += [int(col["doc"][i])] * len(first)
+                b += col["doc"][right[linked[first]]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return one.unionByName(two).groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
