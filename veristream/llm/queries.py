@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from veristream.llm import bpe, chat_format, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, token_counts, toxicity
+from veristream.llm import (
+    bpe, chat_format, embedding_dedup, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, token_counts, toxicity,
+)
 from veristream.llm.common import table
 
 QUERIES = {}
@@ -79,3 +81,8 @@ def op6_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.groups(table(spark, sf, "documents"))
+
+
+@query
+def op4_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup.groups(table(spark, sf, "embeddings"))
