@@ -231,6 +231,18 @@ def groups(docs: DataFrame) -> DataFrame:
     return out
 
 
+def keep(docs: DataFrame) -> DataFrame:
+    """One document of each group: the one with the smallest doc_id, of several rows with it that with the
+    smallest text.  Rows without doc_id all stay."""
+    stay = groups(docs.select("doc_id", "text")).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    rest = [c for c in docs.columns if c != "doc_id"]
+    one = docs.join(stay, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.coalesce("text", F.lit(""))).alias("row")
+    )
+    one = one.select(*[F.col("doc_id") if c == "doc_id" else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def _common_sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """Common shingles of the documents that are too full of them to show enough others."""
     shared = docs.sparkSession.sparkContext.broadcast(common)

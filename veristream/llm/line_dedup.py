@@ -86,6 +86,18 @@ def dedup(docs: DataFrame, sites: int = SITES, min_words: int = 5) -> DataFrame:
     )
 
 
+def keep(docs: DataFrame, sites: int = SITES, min_words: int = 5) -> DataFrame:
+    """The documents without repeated boilerplate, in their own columns (``n_chars`` put right).
+
+    Those that consisted of nothing else go; those that had no words before stay.
+    """
+    out = dedup(docs, sites, min_words).where((F.col("_ld_removed") == 0) | F.col("text").rlike(WORD))
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("_ld_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", changed)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 #: The same for DuckDB, with exact counts.
 SQL = rf"""
 WITH l0 AS (

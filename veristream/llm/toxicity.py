@@ -323,3 +323,21 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     )
     return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted",
                       "n_hits", "n_misspelt", "n_quoted")
+
+
+def keep(docs: DataFrame, model: dict) -> DataFrame:
+    """The documents that aren't predicted toxic, with all their columns, in place; no shuffle."""
+    import pyarrow as pa
+
+    terms, weights = model["terms"], np.asarray(model["weights"])
+    shared = docs.sparkSession.sparkContext.broadcast((terms, frozenset(model["skip"])))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        reader = Reader(Matcher(*shared.value))
+        for batch in batches:
+            found = [hits(reader, t or "") for t in batch.column(at).to_pylist()]
+            good = [float(np.dot(features(n, f, terms), weights)) < 0 for n, f in found]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
