@@ -134,7 +134,7 @@ def _gather(docs: DataFrame, common: np.ndarray, bits: int) -> DataFrame:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of one part, the shingles that two documents or more hold, with the number of documents, per document."""
+    """Of one part, the shingles that two documents or more hold, with their number; by buckets of documents."""
     keys, docs = [], []
     for d, k, n in zip(*[table.column(c).to_pylist() for c in ("docs", "keys", "numbers")]):
         number = np.frombuffer(n, np.uint8).reshape(2, -1).T.copy().view("<u2").ravel()
@@ -150,11 +150,25 @@ def _shared(table: pa.Table) -> pa.Table:
     held = np.repeat(count, count)
     some = held > 1
     key, doc, held = key[some], doc[some], held[some]
+    key = key.astype(np.int64) | (table.column("part")[0].as_py() << 40)
+    bucket = (mix64(doc.astype(np.uint64)) % np.uint64(table.column("buckets")[0].as_py())).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    key, doc, held, bucket = key[order], doc[order], held[order], bucket[order]
+    names, start = np.unique(bucket, return_index=True)
+    stop = [*start[1:].tolist(), len(bucket)]
+    blob = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(start.tolist(), stop)], pa.binary())
+    return pa.table({"bucket": pa.array(names.astype(np.int32)), "docs": blob(doc), "keys": blob(key), "held": blob(held.astype(np.int64))})
+
+
+def _per_document(table: pa.Table) -> pa.Table:
+    """Of one bucket of documents, the shared shingles of each."""
+    column = lambda c: np.concatenate([np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()])
+    doc, key, held = column("docs"), column("keys"), column("held")
     order = np.argsort(doc, kind="stable")
-    key, doc, held = key[order].astype(np.int64) | (table.column("part")[0].as_py() << 40), doc[order], held[order]
-    start = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.empty(0, np.int64)
+    key, doc, held = key[order], doc[order], held[order]
+    start = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     offsets = pa.array(np.concatenate([start, [len(doc)]]).astype(np.int32))
-    pairs = pa.StructArray.from_arrays([pa.array(held.astype(np.int64)), pa.array(key)], names=["held", "key"])
+    pairs = pa.StructArray.from_arrays([pa.array(held), pa.array(key)], names=["held", "key"])
     return pa.table({"doc_id": pa.array(doc[start]), "shared": pa.ListArray.from_arrays(offsets, pairs)})
 
 
@@ -183,10 +197,10 @@ def groups(docs: DataFrame) -> DataFrame:
     hot = [r["key"] for r in often.where(F.col("n") >= max(64, total / COMMON)).select("key").collect()]
     common = np.sort(np.array(hot, np.int64).astype(np.uint64))
     bits = min(20, max(4, int(np.ceil(np.log2(shuffle_partitions(spark))))))
-    gathered = _gather(docs, common, bits).groupBy("part").applyInArrow(
-        _shared, "doc_id long, shared array<struct<held long, key long>>"
+    gathered = _gather(docs, common, bits).withColumn("buckets", F.lit(1 << bits)).groupBy("part").applyInArrow(
+        _shared, "bucket int, docs binary, keys binary, held binary"
     )
-    sets_of = gathered.groupBy("doc_id").agg(F.flatten(F.collect_list("shared")).alias("shared"))
+    sets_of = gathered.groupBy("bucket").applyInArrow(_per_document, "doc_id long, shared array<struct<held long, key long>>")
     heads = meta.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"))
     heads = materialize(heads, "heads")
     extra = _common_sets(docs, common)
