@@ -151,7 +151,7 @@ ENVELOPES = f"""envelopes AS (
   SELECT event_id, {TOPIC} AS source_topic, value / 5 AS score,
     {cases('event_type', EVENT_LABELS)} AS label,
     CASE WHEN event_id % 5 = 0 THEN 'politik' ELSE '' END AS category,
-    {ISO.format('ts')} AS iso, event_type, user_id % 3 AS kind
+    {ISO.format('ts')} AS iso, event_type, user_id, user_id % 3 AS kind
   FROM events),
 originals AS (
   SELECT *,
@@ -166,7 +166,7 @@ originals AS (
   FROM envelopes),
 flat AS (
   SELECT event_id,
-    coalesce(given_id, sha256(source_topic || chr(31) || CASE WHEN kind = 0 THEN url ELSE body END || chr(31) || iso)) AS id,
+    coalesce(given_id, sha256(source_topic || chr(31) || CASE WHEN kind = 0 THEN url ELSE body END || chr(31) || iso || chr(31) || source || chr(31) || CASE WHEN kind = 1 THEN 'u' || (user_id % 50) ELSE '' END)) AS id,
     iso AS timestamp, source, source_type,
     CASE WHEN length(body) > 150 THEN substring(body, 1, 147) || '...' ELSE body END AS text_snippet,
     label, score AS confidence,
@@ -553,10 +553,10 @@ def build() -> dict[str, str]:
       SELECT term, sum(tf)::BIGINT AS total, count(*) AS df,
         round(ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1, 9) AS idf FROM tf_documents GROUP BY term"""
     o["vocabulary"] = f"""WITH {doc_terms}
-      SELECT term, sum(tf)::BIGINT AS total, count(*) AS df FROM tf_documents GROUP BY term ORDER BY total DESC, term LIMIT 1000"""
+      SELECT term, sum(tf)::BIGINT AS total, count(*) AS df FROM tf_documents GROUP BY term ORDER BY total DESC, term LIMIT 10000"""
     o["tfidf_long"] = f"""WITH {doc_terms}, vocab AS (
         SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf
-        FROM tf_documents GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 1000)
+        FROM tf_documents GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 10000)
       SELECT doc_id, term, round(tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY doc_id)), 9) AS weight
       FROM tf_documents JOIN vocab USING (term)"""
     o["similarity_topk"] = f"""WITH {similarity(3, 0.3)}
@@ -629,7 +629,7 @@ def build() -> dict[str, str]:
         identifier_value AS value, CASE WHEN owner_name = '' THEN 'Tidak diketahui' ELSE owner_name END AS owner, source,
         report_count AS reports, {STATUS} AS status, substring(updated_at, 12, 5) AS updated_at FROM registry"""
     o["registry_list"] = f"WITH {REGISTRY} SELECT id, created_at FROM registry ORDER BY created_at DESC, id"
-    o["registry_ids"] = "SELECT c_custkey, 'scam-' || substring(sha256('bank_account' || chr(31) || c_name), 1, 8) AS id FROM customer"
+    o["registry_ids"] = "SELECT c_custkey, 'scam-' || sha256('bank_account' || chr(31) || c_name) AS id FROM customer"
     reasons = f"""WITH {REGISTRY}, checked AS (SELECT id, concat_ws('|',
         CASE WHEN length(identifier_value) < 5 OR length(identifier_value) > 64 THEN 'identifier_value' END,
         CASE WHEN length(owner_name) < 2 OR length(owner_name) > 120 THEN 'owner_name' END,
@@ -668,7 +668,7 @@ def build() -> dict[str, str]:
         CASE WHEN doc_id % 3 = 0 THEN 'hoaks kesehatan' ELSE 'Klarifikasi Hoaks' END AS category, '' AS url, 'Hoaks' AS label,
         'komdigi.go.id' AS source FROM documents"""
     o["article_load"] = """
-      WITH t AS (SELECT doc_id, text, substring(text, 1, 12) AS title FROM documents),
+      WITH t AS (SELECT doc_id, text, string_split(text, chr(10))[1] AS title FROM documents),
       f AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY title ORDER BY doc_id) = 1)
       SELECT doc_id, title FROM f WHERE length(text) > 50"""
     o["feed_dimension"] = """

@@ -554,14 +554,14 @@ def idf_table(spark, sf):
 
 @query
 def vocabulary(spark, sf):
-    return features.vocabulary(features.term_stats(_terms(spark, sf)), 1000)
+    return features.vocabulary(features.term_stats(_terms(spark, sf)))
 
 
 @query
 def tfidf_long(spark, sf):
     docs = spread(tb.table(spark, sf, "documents").select("doc_id", "text"))
     docs = docs.select("doc_id", tx.clean_train(F.col("text")).alias("clean"))
-    return features.tfidf(docs, "doc_id", "clean", 1000).select(
+    return features.tfidf(docs, "doc_id", "clean").select(
         "doc_id", "term", F.round("weight", 9).alias("weight")
     )
 
@@ -617,7 +617,7 @@ def confusion(spark, sf):
 def lr_train_score(spark, sf):
     """Model on the training part; how it does on the test part."""
     rows = sampling.split(tb.labeled(spark, sf), key="doc_id")
-    model = train.fit(train.prepare(rows.filter("part = 'train'")), n_max=2000)
+    model = train.fit(train.prepare(rows.filter("part = 'train'")))
     scored = train.predict(train.prepare(rows.filter("part = 'test'")), model)
     return evaluate.summary(scored)
 
@@ -625,7 +625,7 @@ def lr_train_score(spark, sf):
 @query
 def model_scores(spark, sf):
     """Class scores of all documents by a model trained on the labelled ones."""
-    model = train.fit(train.prepare(tb.labeled(spark, sf)), n_max=2000)
+    model = train.fit(train.prepare(tb.labeled(spark, sf)))
     scored = train.score(tb.table(spark, sf, "documents"), model)
     return scored.select("doc_id", *_scores("base", "base"))
 
@@ -812,7 +812,7 @@ def hoax_articles(spark, sf):
 @query
 def article_load(spark, sf):
     """Articles with enough text, first one per title, and nothing null."""
-    d = tb.table(spark, sf, "documents").withColumn("title", F.substring("text", 1, 12))
+    d = tb.table(spark, sf, "documents").withColumn("title", F.get(F.split("text", "\n"), 0))
     kept = curate.dedup_keep_first(d, ["title"], [F.col("doc_id")])
     return curate.drop_null(curate.min_length(kept, fv.MIN_ARTICLE_CHARS), ["text"]).select("doc_id", "title")
 

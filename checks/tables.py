@@ -81,16 +81,19 @@ def envelopes(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("user_id") % 3
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     j = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    # One in four news times as feeds give them, with a zone.
+    local = F.date_format(F.col("ts") + F.expr("INTERVAL 7 HOURS"), "EEE, dd MMM yyyy HH:mm:ss")
+    published = F.when(F.col("event_id") % 4 == 0, F.concat(local, F.lit(" +0700"))).otherwise(iso)
     original = (
         F.when(
             kind == 0,
             j('{"source":"src', (F.col("event_id") % 9).cast("string"), '","title":" T ', k,
               ' ","description":"', F.repeat(F.concat(F.col("event_type"), F.lit(" ")), (F.col("event_id") % 40).cast("int")),
-              '","link":"http://e.com/', k, '","published_at":"', iso, '"}'),
+              '","link":"http://e.com/', k, '","published_at":"', published, '"}'),
         )
         .when(
             kind == 1,
-            j('{"channel_name":"ch', (F.col("event_id") % 4).cast("string"), '","message":"hello ', k,
+            j('{"sender_id":"u', (F.col("user_id") % 50).cast("string"), '","channel_name":"ch', (F.col("event_id") % 4).cast("string"), '","message":"hello ', k,
               '","sent_at":"', iso, '"}'),
         )
         .otherwise(

@@ -118,14 +118,14 @@ def article_text(html: Column, max_chars: int = 5000) -> Column:
 def container_text(html: Column, classes: Sequence[str] = ("entry-content", "post-content")) -> Column:
     """Text of the first ``div`` with one of the classes, '' if there is none.
 
-    Classes are tried in order.  The block ends at the first closing tag of a
-    ``div``, so use it on pages whose content block holds no nested ``div``.
+    Classes are tried in order.  The block ends where its ``div`` does: nested
+    ones are counted.  A ``div`` that never ends goes to the end of the page.
     """
     found = [
         F.nullif(
-            F.regexp_extract(
-                html, rf'(?is)<div\b[^>]*class="[^"]*\b{name}\b[^"]*"[^>]*>(.*?)</div\s*>', 1
-            ),
+            _balanced(F.regexp_extract(
+                html, rf'(?is)<div\b[^>]*class="[^"]*\b{name}\b[^"]*"[^>]*>(.*)$', 1
+            )),
             F.lit(""),
         )
         for name in classes
@@ -133,6 +133,22 @@ def container_text(html: Column, classes: Sequence[str] = ("entry-content", "pos
     return html_to_text(F.coalesce(*found))
 
 
+def _balanced(inside: Column) -> Column:
+    """What comes before the closing tag of the ``div`` that was open at the start."""
+    pieces = F.split(inside, r"(?i)(?=<div\b|</div\s*>)")
+    opens, closes = (lambda p: p.rlike(r"(?i)^<div\b")), (lambda p: p.rlike(r"(?i)^</div\s*>"))
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+    taken = F.aggregate(
+        pieces, start,
+        lambda a, p: F.when(a["depth"] == 0, a).otherwise(F.struct(
+            (a["depth"] + F.when(opens(p), 1).when(closes(p), -1).otherwise(0)).alias("depth"),
+            (a["n"] + F.when((a["depth"] == 1) & closes(p), 0).otherwise(1)).alias("n"),
+        )),
+        lambda a: a["n"],
+    )
+    return F.array_join(F.slice(pieces, F.lit(1), taken), "")
+
+
 def ellipsis(c: Column, max_chars: int = 150, keep: int = 147) -> Column:
     """Texts longer than ``max_chars`` become the first ``keep`` plus '...'."""
     cut = F.concat(F.substring(c, 1, keep), F.lit("..."))

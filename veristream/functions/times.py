@@ -29,6 +29,12 @@ def parse_time(c: Column) -> Column:
     )
 
 
+def sortable(c: Column) -> Column:
+    """Feed times as ISO text in UTC; ISO texts in UTC and what cannot be parsed stay as they are."""
+    utc = c.rlike(r"^\d{4}-\d{2}-\d{2}([T ][0-9:.]*Z?)?$")
+    return F.when(utc, c).otherwise(F.coalesce(iso_z(parse_time(c), ISO_Z_SECONDS), c))
+
+
 def hour_label(ts_text: Column) -> Column:
     """Characters 12-13 of the time text; '00' where they are blank."""
     hour = non_empty(F.substring(ts_text, 12, 2))

@@ -36,8 +36,10 @@ def flatten(envelopes: DataFrame, keep: Sequence[str] = (), strict: bool = False
 
     Times of news and chat records and the channel name of chats are used where
     the generic fields are absent; ``strict=True`` looks at the generic fields
-    only.  Rows without an id get one from their content, so a replay of the
-    same message gives the same id.
+    only.  All times become ISO text in UTC, so that they sort; what cannot be
+    parsed stays as it is.  Rows without an id get one from their content, source
+    and sender, so a replay of the same message gives the same id, and the same
+    words in two channels or from two senders are two rows.
     """
     rows = envelopes.withColumn("_o", F.from_json("original_data", schemas.ORIGINAL))
     o = lambda name: F.col(f"_o.{name}")
@@ -50,7 +52,7 @@ def flatten(envelopes: DataFrame, keep: Sequence[str] = (), strict: bool = False
         *keep,
         "source_topic",
         "analysis",
-        tx.first_non_empty(*[o(f) for f in time_fields]).alias("timestamp"),
+        times.sortable(tx.first_non_empty(*[o(f) for f in time_fields])).alias("timestamp"),
         F.coalesce(*source_fields, F.col("source_topic")).alias("source"),
         source_type(F.col("source_topic")).alias("source_type"),
         tx.first_non_empty(o("link"), o("url")).alias("url"),
@@ -64,6 +66,8 @@ def flatten(envelopes: DataFrame, keep: Sequence[str] = (), strict: bool = False
                 F.col("url"), o("message"), o("text"), o("description"), o("title")
             ),
             "timestamp",
+            F.coalesce("source", F.lit("")),
+            F.coalesce(o("sender_id"), o("username"), F.lit("")),
         ),
         256,
     )

@@ -15,9 +15,8 @@ DEFAULTS = {"report_count": 1, "status": "active"}
 
 
 def make_id(*natural_key: Column) -> Column:
-    """Stable id: 'scam-' and 8 hex digits of the key's hash."""
-    digest = F.sha2(F.concat_ws("\x1f", *natural_key), 256)
-    return F.concat(F.lit("scam-"), F.substring(digest, 1, 8))
+    """Stable id: 'scam-' and the whole digest of the key, so that no two keys meet."""
+    return F.concat(F.lit("scam-"), F.sha2(F.concat_ws("\x1f", *natural_key), 256))
 
 
 def _was_set(name: str) -> Column:

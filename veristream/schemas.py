@@ -54,7 +54,7 @@ ENVELOPE = _record("original_data source_topic", analysis=ANALYSIS)
 # Every field a producer may send that the feed loader looks at.
 ORIGINAL = _record(
     "id tweet_id timestamp tweeted_at date pubDate published_at sent_at source channel_name "
-    "title description message text link url category"
+    "sender_id username title description message text link url category"
 )
 LIVE_FEED = _record(
     "id timestamp source source_type text_snippet label confidence topic url inserted_at",

@@ -37,11 +37,14 @@ _OWN_ROOTS: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, laptops) a temporary folder is
-    made, one per application.
+    Only a local session, where driver and executor are one process, may go
+    without: it gets a temporary folder, one per application.  On a cluster
+    executors would not see each other's files there, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_ROOTS:
             _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="veristream-")
