@@ -31,6 +31,11 @@ def query(f):
     return f
 
 
+def cores(spark) -> int:
+    """The tables here are one file each: heavy work is dealt to all cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _joined(c):
     return F.array_join(c, "|")
 
@@ -540,7 +545,7 @@ def screenshot_verdict(spark, sf):
 
 
 def _terms(spark, sf, name="documents", id="doc_id"):
-    t = spread(tb.table(spark, sf, name).select(id, "text"))
+    t = spread(tb.table(spark, sf, name).select(id, "text"), cores(spark))
     t = t.select(id, tx.clean_train(F.col("text")).alias("clean"))
     return features.terms(t, "clean").drop("clean")
 
@@ -559,7 +564,7 @@ def vocabulary(spark, sf):
 
 @query
 def tfidf_long(spark, sf):
-    docs = spread(tb.table(spark, sf, "documents").select("doc_id", "text"))
+    docs = spread(tb.table(spark, sf, "documents").select("doc_id", "text"), cores(spark))
     docs = docs.select("doc_id", tx.clean_train(F.col("text")).alias("clean"))
     return features.tfidf(docs, "doc_id", "clean").select(
         "doc_id", "term", F.round("weight", 9).alias("weight")
@@ -567,9 +572,9 @@ def tfidf_long(spark, sf):
 
 
 def _matches(spark, sf, k, threshold):
-    index = similarity.build_index(tb.corpus(spark, sf))
+    index = similarity.build_index(tb.corpus(spark, sf), partitions=cores(spark))
     d = tb.table(spark, sf, "documents")
-    return d, similarity.topk(d, index, "doc_id", "text", k, threshold)
+    return d, similarity.topk(d, index, "doc_id", "text", k, threshold, cores(spark))
 
 
 @query
@@ -617,7 +622,7 @@ def confusion(spark, sf):
 def lr_train_score(spark, sf):
     """Model on the training part; how it does on the test part."""
     rows = sampling.split(tb.labeled(spark, sf), key="doc_id")
-    model = train.fit(train.prepare(rows.filter("part = 'train'")))
+    model = train.fit(train.prepare(rows.filter("part = 'train'")), max_iter=200, partitions=2)
     scored = train.predict(train.prepare(rows.filter("part = 'test'")), model)
     return evaluate.summary(scored)
 
@@ -625,7 +630,7 @@ def lr_train_score(spark, sf):
 @query
 def model_scores(spark, sf):
     """Class scores of all documents by a model trained on the labelled ones."""
-    model = train.fit(train.prepare(tb.labeled(spark, sf)))
+    model = train.fit(train.prepare(tb.labeled(spark, sf)), max_iter=200, partitions=2)
     scored = train.score(tb.table(spark, sf, "documents"), model)
     return scored.select("doc_id", *_scores("base", "base"))
 

@@ -25,4 +25,5 @@ def test_scratch_folder(spark, monkeypatch, tmp_path):
 def test_materialize_and_spread(spark):
     df = spark.range(10).coalesce(1)
     assert session.materialize(df, "t").count() == 10
-    assert session.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert session.spread(df).rdd.getNumPartitions() == 1
+    assert session.spread(df, 5).rdd.getNumPartitions() == 5

@@ -17,8 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from veristream import fixed_values as fv
 from veristream.functions.planning import compute_once, explode_rows
 
-# A vocabulary up to this many terms is small enough (some MB) to broadcast.
-BROADCAST_TERMS = 100_000
 
 
 def tokens(clean: Column) -> Column:
@@ -89,8 +87,6 @@ def tfidf_long(
     ``n_terms`` rows.
     """
     chosen = vocab.select("term", "df", "idf")
-    if n_terms <= BROADCAST_TERMS:
-        chosen = F.broadcast(chosen)
     exploded = explode_rows(docs, [id], F.col(terms), "term").join(chosen, "term")
     counted = exploded.groupBy(id, "term", "df", "idf").agg(F.count("*").alias("tf"))
     raw = counted.withColumn("_x", F.col("tf") * F.col("idf"))

@@ -17,7 +17,7 @@ BUCKET_DIGITS = 3  # 16**3 buckets per class
 
 
 def seeded_hash(key: Column, seed: int) -> Column:
-    return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}")))
 
 
 def positions(
@@ -25,7 +25,7 @@ def positions(
 ) -> DataFrame:
     """Adds ``_pos`` (1, 2, ... in hash order within the label) and ``_size``.
 
-    Keys must be unique.  With ``limit``, rows beyond that position are left
+    Keys must be unique; null labels are a class of their own.  With ``limit``, rows beyond that position are left
     out, and buckets that lie beyond it never reach the ranking.
     """
     hashed = df.withColumn("_hash", seeded_hash(F.col(key), seed)).withColumn(
@@ -45,7 +45,7 @@ def positions(
     if limit is not None:
         starts = starts.filter(F.col("_start") < limit)
     placed = hashed.join(
-        starts, (hashed[label] == starts["_l"]) & (hashed["_bucket"] == starts["_b"])
+        starts, hashed[label].eqNullSafe(starts["_l"]) & (hashed["_bucket"] == starts["_b"])
     )
     in_bucket = Window.partitionBy("_l", "_b").orderBy("_hash", key)
     ranked = placed.withColumn("_pos", F.col("_start") + F.row_number().over(in_bucket))

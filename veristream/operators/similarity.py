@@ -63,7 +63,7 @@ def _distinct_texts(df: DataFrame) -> DataFrame:
 
 
 def build_index(
-    corpus: DataFrame, id: str = "id", n_terms: int = fv.SIMILARITY_FEATURES
+    corpus: DataFrame, id: str = "id", n_terms: int = fv.SIMILARITY_FEATURES, partitions: int | None = None
 ) -> Index:
     """Index of articles with ``title`` and ``body_text``.
 
@@ -73,7 +73,7 @@ def build_index(
     blank = F.lit("")
     given = lambda c: F.coalesce(F.col(c), blank) if c in corpus.columns else blank
     joined = F.concat(given("title"), F.lit(" "), given("body_text"))
-    articles = spread(corpus).select(
+    articles = spread(corpus, partitions).select(
         F.col(id).alias("id"),
         given("title").alias("title"),
         given("url").alias("url"),
@@ -122,6 +122,7 @@ def topk(
     text: str = "text",
     k: int = 1,
     threshold: float = fv.SIMILARITY_THRESHOLD,
+    partitions: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, article_id, title, url, category, similarity).
 
@@ -130,7 +131,7 @@ def topk(
     """
     if threshold <= 0:
         raise ValueError("threshold must be above 0")
-    texts = spread(queries.select(F.col(id).alias("query_id"), F.col(text).alias("_text")))
+    texts = spread(queries.select(F.col(id).alias("query_id"), F.col(text).alias("_text")), partitions)
     cleaned = compute_once(texts, "_clean", tx.clean_similarity(F.col("_text"))).drop("_text")
     keyed = compute_once(
         cleaned.filter(F.length("_clean") > 0), "text_key", F.sha2("_clean", 256)

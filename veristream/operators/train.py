@@ -13,8 +13,6 @@ from veristream.operators import features
 from veristream.session import scratch_path, spread
 from veristream.sources import files
 
-ROWS_PER_TASK = 1_000
-
 
 def prepare(df: DataFrame, text: str = "text", label: str = "final_label") -> DataFrame:
     """(text_clean, label_num) for training."""
@@ -36,24 +34,25 @@ def class_weights(df: DataFrame, label: str = "label_num") -> DataFrame:
 
 
 def fit(
-    df: DataFrame, n_max: int = fv.CLASSIFIER_FEATURES, max_iter: int = 1000, tol: float = 1e-6
+    df: DataFrame, n_max: int = fv.CLASSIFIER_FEATURES, max_iter: int = 1000, tol: float = 1e-4,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Vectoriser and multinomial logistic regression from (text_clean, label_num).
 
     The penalty is ½|w|² against the summed weighted loss.  Balanced weights
     sum to the number of rows, and Spark minimises the mean loss, hence 1/n.
+    ``partitions`` deals the rows anew first, for inputs of a few small files.
     """
-    # Vectoriser and solver pass over the (balanced, so bounded) rows many times.
-    df = spread(df.select("text_clean", "label_num")).persist()
+    # Vectoriser and solver pass over the rows many times.  They are the caller's: balance or sample
+    # them first where there are more than a model needs.
+    df = spread(df.select("text_clean", "label_num"), partitions).persist()
     try:
         vectorizer = features.fit_vectorizer(df, n_max=n_max)
         weights = F.broadcast(class_weights(df).select("label_num", "weight"))  # a row per class
         rows = vectorizer.transform(df).join(weights, "label_num")
         rows = rows.select("features", F.col("label_num").cast("double").alias("label"), "weight")
         n = df.count()
-        # Every step of the solver is a job: few large partitions, not many small ones.
-        parts = df.rdd.getNumPartitions()
-        rows = rows.coalesce(max(1, min(parts, n // ROWS_PER_TASK))).persist()
+        rows = rows.persist()
         lr = LogisticRegression(
             family="multinomial",
             maxIter=max_iter,

@@ -69,19 +69,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small input over all cores, before work that is heavy per row.
-
-    A scan makes no more tasks than its files have parts, so one small file
-    would keep one core busy.  Where Spark's size estimate says that the input
-    could not fill all cores with full partitions, it is shuffled (little data,
-    by that very check); a large input already has enough tasks and stays as
-    it is.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows dealt to ``partitions`` tasks before work that is heavy per row; as they are if it is None.
+
+    A scan makes no more tasks than its files have parts: a caller that knows its input to be
+    one small file passes the number of cores.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    full = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728b")
-    ))
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if estimate < cores * full else df
+    return df if partitions is None else df.repartition(partitions)
