@@ -53,6 +53,28 @@ def test_retrain_job(spark, tmp_path):
     assert feedback.retrain(spark, str(log), labelled(spark), **where) is None  # emptied
 
 
+def test_retrain_leaves_late_files(spark, tmp_path, monkeypatch):
+    """A file that arrives during the training is neither archived nor deleted."""
+    log = tmp_path / "feedback"
+    log.mkdir()
+    line = lambda text: json.dumps({"text": text, "correct_label": "Hoaks"}) + "\n"
+    (log / "a.jsonl").write_text(line("kabar satu"))
+    where = {k: str(tmp_path / k) for k in ("model_path", "pool_path", "archive_path")}
+    fit = train.fit
+
+    def slow(rows):
+        (log / "b.jsonl").write_text(line("kabar dua"))
+        return fit(rows)
+
+    monkeypatch.setattr(train, "fit", slow)
+    assert feedback.retrain(spark, str(log), labelled(spark), **where) is not None
+    assert [f.name for f in log.glob("*.jsonl")] == ["b.jsonl"]
+    assert [r["value"] for r in spark.read.text(where["archive_path"]).collect()] == [line("kabar satu").strip()]
+    monkeypatch.setattr(train, "fit", fit)
+    assert feedback.retrain(spark, str(log), labelled(spark), **where) is not None
+    assert sorted(r["text"] for r in spark.read.parquet(where["pool_path"]).collect()) == ["kabar dua", "kabar satu"]
+
+
 def test_feedback_trigger(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()

@@ -47,15 +47,15 @@ def merge_pool(existing: DataFrame, new: DataFrame, order: str = "row_id") -> Da
     return _first_per_text([existing, new], order)
 
 
-def archive(spark: SparkSession, path: str, archive_path: str) -> None:
-    """Move processed lines to the archive.
+def archive(spark: SparkSession, paths: list[str], archive_path: str) -> None:
+    """Move the lines of these files to the archive; other files are left alone.
 
-    Lines are appended first and the input is emptied after, so a failure in
+    Lines are appended first and the files deleted after, so a failure in
     between leaves lines twice (harmless: pools keep one per text), never none.
     """
-    spark.read.text(path).write.mode("append").text(archive_path)
-    for file in files.expand(spark, path):
-        files._fs(spark, file).delete(files._path(spark, file), True)
+    spark.read.text(paths).write.mode("append").text(archive_path)
+    for file in paths:
+        files.delete(spark, file)
 
 
 def retrain(
@@ -69,11 +69,13 @@ def retrain(
 ):
     """The retraining job; gives the model, or None if there was too little.
 
-    Pool and archive change only after the model is saved.
+    Pool and archive change only after the model is saved.  The files are listed
+    once: what arrives during the training waits for the next one.
     """
-    if not files.exists(spark, feedback_path):
+    paths = files.leaves(spark, feedback_path)
+    if not paths:
         return None
-    good, _ = readers.read_jsonl(spark, feedback_path, schemas.FEEDBACK_LOG)
+    good, _ = readers.read_jsonl(spark, paths, schemas.FEEDBACK_LOG)
     new = codes(good)
     if len(new.take(at_least)) < at_least:
         return None
@@ -86,5 +88,5 @@ def retrain(
     else:
         fresh = merge_pool(new.limit(0), new)
     fresh.write.mode("append").parquet(pool_path)
-    archive(spark, feedback_path, archive_path)
+    archive(spark, paths, archive_path)
     return model

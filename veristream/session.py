@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "veristream", master: str | None = None, **conf) -> SparkSession:
+def build_session(
+    app: str = "veristream", master: str | None = None, initial_partitions: int | None = None, **conf
+) -> SparkSession:
     """A session with the settings the operators are tuned for.
 
-    On a cluster leave ``master`` to spark-submit.  Adaptive execution sizes
-    shuffle partitions at run time (from an ample initial number) and splits
-    skewed join partitions.
+    On a cluster leave ``master`` to spark-submit.  Adaptive execution joins
+    small shuffle partitions at run time and splits skewed join partitions; it never
+    makes more partitions than there were at first, so give ``initial_partitions``
+    for large data: the largest shuffle's bytes by 128 MB.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -26,6 +29,8 @@ def build_session(app: str = "veristream", master: str | None = None, **conf) ->
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **{k: str(v) for k, v in conf.items()},
     }
+    if initial_partitions is not None:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -25,6 +25,23 @@ def expand(spark: SparkSession, glob: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found)
 
 
+def leaves(spark: SparkSession, glob: str) -> list[str]:
+    """Data files at or below the paths matching a glob, sorted; hidden ones are left out."""
+    out = []
+    for path in expand(spark, glob):
+        found = _fs(spark, path).listFiles(_path(spark, path), True)
+        while found.hasNext():
+            file = found.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                out.append(file.toString())
+    return sorted(out)
+
+
+def delete(spark: SparkSession, file: str) -> None:
+    """Delete one file."""
+    _fs(spark, file).delete(_path(spark, file), False)
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     stream = _fs(spark, path).open(_path(spark, path))
     try:

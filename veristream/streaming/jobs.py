@@ -119,9 +119,8 @@ def feedback_trigger(feedback: DataFrame, n: int, retrain: Callable[[], object],
     """
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         rows = codes(batch).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        rows.write.mode("overwrite").partitionBy("batch").parquet(f"{pool}/rows")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{pool}/rows")
         stored = spark.read.schema(schemas.STORED_FEEDBACK).parquet(f"{pool}/rows")
         trained = readers.first_existing(spark, [f"{pool}/trained"], schemas.TRAINED_BATCH)
         since = trained.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
