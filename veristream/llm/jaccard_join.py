@@ -20,7 +20,8 @@ of near copies costs its size, not its square.
 Words are as ``common.WORD``, A-Z lowered.  A text with fewer words than a shingle is one shingle;
 one without words, or null, has an empty set and no links.  Documents with equal sets are linked.
 Rows that share a doc_id count as linked; a null doc_id gets a null component.  Shingles are
-64-bit hashes (46 bits and more of them when gathered).
+64-bit hashes (44 to 60 bits of them when gathered, more with more
+shuffle partitions).
 """
 
 from __future__ import annotations
