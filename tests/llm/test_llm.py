@@ -406,6 +406,25 @@ def test_embeddings(spark):
     assert embedding_dedup.groups(df.where("false")).count() == 0
 
 
+def test_embeddings_default_finds_all_links(spark):
+    """Pairs at cosine 0.90 to 0.92, the hardest, by default: in the usual cells and in many small ones."""
+    r = np.random.default_rng(11)
+    for dims, more in ((4, {}), (4, {"cell": 50}), (16, {"cell": 50})):
+        a, b = r.normal(size=(2, 1500, dims))
+        a /= np.linalg.norm(a, axis=1)[:, None]
+        b -= (a * b).sum(1)[:, None] * a
+        b /= np.linalg.norm(b, axis=1)[:, None]
+        c = r.uniform(0.9, 0.92, 1500)[:, None]
+        x = np.concatenate([a, c * a + np.sqrt(1 - c * c) * b])
+        df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+        unit = x / np.linalg.norm(x, axis=1)[:, None]
+        s = unit @ unit.T >= 0.9
+        label = smallest(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(s))])
+        out = got(embedding_dedup.groups(df, **more), "vec_id")
+        assert sum(o.n_links for o in out.values()) == s.sum() - len(x), (dims, more)
+        assert all((out[i].n_links, out[i].component_id) == (s[i].sum() - 1, label[i]) for i in range(len(x)))
+
+
 def test_slices_lose_nothing():
     texts = ["a" * n for n in (0, 5, 50, 1, 0, 200, 3)]
     parts = list(slices(list(range(7)), texts, 40))

@@ -4,8 +4,9 @@ Equal vectors are put together first.  Centroids are fitted on a bounded sample;
 is then put in the cell of its nearest centroid, and, as a visitor, in each cell of smaller
 number whose border is within ``margin`` (distance to the plane between the two centroids).
 Inside a cell, blocks of vectors are multiplied with blocks of vectors, visitors included.  Two
-vectors with the given cosine are at most sqrt(2 - 2 cos) apart, so a margin of that size (0.447
-for 0.9) loses nothing by proof; the default is smaller, and its recall is measured in the tests.
+vectors with the given cosine are at most sqrt(2 - 2 cos) apart, so the default margin of that size
+(0.447 for 0.9) loses nothing.  Vectors of many dimensions then visit most cells, so cells are
+coarse: a vector is sent once per thousands of others, not once per cell of a few hundred.
 Components are formed over the links; one vector of each stays.
 
 Vectors that are null, all zero, or hold a null or a number that isn't finite have no links.
@@ -23,13 +24,14 @@ from veristream.llm.common import materialize
 from veristream.llm.graph import components
 
 COSINE = 0.9
-MARGIN = 0.25
 #: Vectors that the centroids are fitted on, at most.
 SAMPLE = 20_000
 #: Cells at most; their centroids are sent to every task.
 CELLS = 8192
+#: Vectors in a cell, about.
+CELL = 4096
 #: Vectors in a block.
-BLOCK = 1024
+BLOCK = 2048
 
 
 def _unit(vectors: DataFrame) -> DataFrame:
@@ -51,6 +53,11 @@ def _unit(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(run, "vec_id long, unit binary")
 
 
+def safe_margin(cosine: float) -> float:
+    """Distance of two unit vectors with the cosine, and a little for rounding."""
+    return float(np.sqrt(max(2 - 2 * cosine, 0.0))) + 1e-6
+
+
 def fit_cells(x: np.ndarray, cells: int, rounds: int = 12) -> np.ndarray:
     """Spherical k-means: unit centroids of unit vectors, from a fixed start."""
     centroids = x[np.random.default_rng(7).permutation(len(x))[:cells]].copy()
@@ -66,7 +73,8 @@ def fit_cells(x: np.ndarray, cells: int, rounds: int = 12) -> np.ndarray:
 def _assign(heads: DataFrame, centroids: dict[int, np.ndarray], margin: float) -> DataFrame:
     """(dim, cell, home, rep, copies, unit): a row for each cell a vector is in."""
     shared = heads.sparkSession.sparkContext.broadcast(
-        {d: (c, np.sqrt(np.maximum(2 - 2 * c @ c.T, 1e-12))) for d, c in centroids.items()}
+        # Rounding spoils the gaps of centroids that nearly coincide; a wider gap makes borders nearer, which loses nothing.
+        {d: (c, np.sqrt(np.maximum(2 - 2 * c @ c.T, 1e-8))) for d, c in centroids.items()}
     )
 
     def run(batches):
@@ -129,8 +137,11 @@ def _blocks(table: pa.Table, cosine: float) -> pa.Table:
     return pa.table({"rep": pa.array(rep[some], pa.int64()), "gain": pa.array(gain[some]), "root": pa.array(root[some], pa.int64())})
 
 
-def groups(vectors: DataFrame, cosine: float = COSINE, margin: float = MARGIN, sample: int = SAMPLE) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every vector."""
+def groups(
+    vectors: DataFrame, cosine: float = COSINE, margin: float | None = None, sample: int = SAMPLE, cell: int = CELL
+) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every vector; a ``margin`` below the default one can lose links."""
+    margin = safe_margin(cosine) if margin is None else margin
     unit = materialize(_unit(vectors), "units")
     key = F.md5("unit")
     heads = materialize(
@@ -143,7 +154,7 @@ def groups(vectors: DataFrame, cosine: float = COSINE, margin: float = MARGIN, s
     for d, n in sizes.items():
         x = [np.frombuffer(r["unit"], np.float64) for r in chosen if len(r["unit"]) == 8 * d]
         x = np.stack(x) if x else np.eye(1, d)
-        centroids[d] = fit_cells(x, int(min(CELLS, len(x) / 8 + 1, np.ceil(np.sqrt(n)))))
+        centroids[d] = fit_cells(x, int(min(CELLS, len(x) / 8 + 1, np.ceil(n / cell))))
     placed = materialize(_assign(heads.select("rep", "copies", "unit"), centroids, margin), "cells")
     counts = placed.groupBy("dim", "cell", "home").agg(F.count("*").alias("n"))
     parts = counts.groupBy("dim", "cell").agg(
