@@ -308,6 +308,45 @@ def test_automaton_is_levenshtein():
         assert m.find(w) == (min(best) if best else None), w
 
 
+def test_wide_automaton_is_levenshtein():
+    r = random.Random(7)
+    terms = [(w, False, 1.0) for w in ("idiot", "scum", "worthless")] + [(w, True, 1.0) for w in ("lowei", "achlicht", "veju")]
+    m = toxicity.Matcher(terms, frozenset({"loweu", "idiod"}), wide=True)
+    for _ in range(3000):
+        t, stem, _ = r.choice(terms)
+        w = list(t + (r.choice(["", "chen", "a", "ts"]) if stem else ""))
+        for _ in range(r.randrange(4)):
+            k = r.randrange(len(w) + 1)
+            w[k : k + r.randrange(2)] = r.choice(["", "a", "t", "s"])
+        w = "".join(w)
+        near = [min(distance(w[:k], t) for k in range(len(w) + 1)) if stem else distance(w, t) for t, stem, _ in terms]
+        best = [e for e, (t, _, _) in zip(near, terms) if e <= toxicity.edits(t)]
+        hit = m.find(w)
+        assert (hit and hit[0]) == (min(best) if best else None) and (not hit or near[hit[1]] == hit[0]), w
+    assert m.find("loweu") is m.find("idiod") is None and m.find("loweichen")[0] == 0
+
+
+def test_misspelt_stem_words(spark):
+    r = random.Random(9)
+    vocab = ["".join(r.choice("bcdfgklmnoaeu") for _ in range(r.randrange(3, 8))) for _ in range(200)]
+    ends = ["an", "ung", "isch", "ei", "tum", "heit", "los", "sam"]
+    data, labels = [], []
+    for i in range(600):
+        words = [r.choice(vocab) for _ in range(40)]
+        if i % 3 == 0:
+            for _ in range(3):
+                words[r.randrange(40)] = "achlich" + r.choice(ends)
+        data.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    model = toxicity.fit(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert any(stem and "achlich".startswith(t) for t, stem, _ in model["terms"])
+    plain = " ".join(vocab[:37])
+    odd = [f"{plain} {w} {w} {w}" for w in ("achlchung", "achlihei", "xchlichisch", "achlichneu", "achlixhneu")]
+    found = got(toxicity.score(spark.createDataFrame(list(enumerate(odd + [plain])), "doc_id long, text string"), model))
+    assert [found[i].predicted for i in range(6)] == [1, 1, 1, 1, 1, 0]
+    assert [found[i].n_misspelt for i in range(6)] == [3, 3, 3, 0, 3, 0]
+
+
 def test_quotation():
     tokens = 'he said "you idiot" to her'.split()
     plain = "you are an idiot really now".split()

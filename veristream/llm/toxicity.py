@@ -42,28 +42,32 @@ PREFIXES = range(4, 11)
 
 
 def edits(term: str) -> int:
-    """Misspellings forgiven in a whole word: none in short ones, which differ by one letter too easily."""
+    """Misspellings forgiven in a word or stem: none in short ones, which differ by one letter too easily."""
     return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
 
 
 class Matcher:
     """The lexicon's trie times a Levenshtein automaton, determinised as it is used.
 
-    A state is a set of (trie node, edits so far).  The first letter has to be right.
-    ``terms``: (text, is_stem, weight); a stem matches every word that starts with it, unedited.
+    A state is a set of (trie node, edits so far).
+    ``terms``: (text, is_stem, weight); a stem matches every word that starts with it.
     ``skip``: words that are no hits although they are near a term.
+    ``wide``: edits in stems are forgiven too, and the first letter may be wrong.
     """
 
     MOST_STATES = 50_000
+    #: Trie nodes in all states together, which bounds the memory.
+    MOST_NODES = 2_000_000
 
-    def __init__(self, terms: list[tuple[str, bool, float]], skip: frozenset[str] = frozenset()):
-        self.terms, self.skip = terms, skip
+    def __init__(self, terms: list[tuple[str, bool, float]], skip: frozenset[str] = frozenset(), wide: bool = False):
+        self.terms, self.skip, self.wide = terms, skip, wide
         self.child: list[dict[str, int]] = [{}]
         self.most = [0]  # edits that some term below a node forgives
         self.word: dict[int, int] = {}
         self.stem: dict[int, int] = {}
         for i, (text, is_stem, _) in enumerate(terms):
-            node, k = 0, 0 if is_stem else edits(text)
+            node, k = 0, 0 if is_stem and not wide else edits(text)
+            self.most[0] = max(self.most[0], k)
             for c in text:
                 if c not in self.child[node]:
                     self.child[node][c] = len(self.child)
@@ -76,11 +80,13 @@ class Matcher:
         self._reset()
 
     def _reset(self) -> None:
-        self.sets: list[tuple] = [((0, 0),)]
-        self.number = {self.sets[0]: 0}
+        self.sets: list[tuple] = []
+        self.number: dict[tuple, int] = {}
+        self.nodes = 0
         self.step: dict[tuple[int, str], int] = {}
-        self.result: list[tuple[int, int] | None] = [None]
-        self.sticky: list[tuple[int, int] | None] = [None]
+        self.result: list[tuple[int, int] | None] = []
+        self.sticky: list[tuple[int, int] | None] = []
+        self._add({0: 0})
 
     def _add(self, nodes: dict[int, int]) -> int:
         """Number of the state with these (node: fewest edits), skipped letters included; -1: dead."""
@@ -88,7 +94,7 @@ class Matcher:
         while todo:
             node = todo.pop()
             e = nodes[node] + 1
-            if node:
+            if node or self.wide:
                 for to in self.child[node].values():
                     if e <= self.most[to] and e < nodes.get(to, 9):
                         nodes[to] = e
@@ -99,9 +105,10 @@ class Matcher:
         if key not in self.number:
             self.number[key] = len(self.sets)
             self.sets.append(key)
+            self.nodes += len(key)
             hits = [(e, self.word[n]) for n, e in key if n in self.word and e <= edits(self.terms[self.word[n]][0])]
             self.result.append(min(hits) if hits else None)
-            stems = [(0, self.stem[n]) for n, e in key if n in self.stem and e == 0]
+            stems = [(e, self.stem[n]) for n, e in key if n in self.stem and e <= (edits(self.terms[self.stem[n]][0]) if self.wide else 0)]
             self.sticky.append(min(stems) if stems else None)
         return self.number[key]
 
@@ -109,18 +116,19 @@ class Matcher:
         out: dict[int, int] = {}
         for node, e in self.sets[state]:
             for c, to in self.child[node].items():
-                d = e if c == letter else e + 1 if node else 9
+                d = e if c == letter else e + 1 if node or self.wide else 9
                 if d <= self.most[to] or d == 0:
                     out[to] = min(d, out.get(to, 9))
-            if node and e + 1 <= self.most[node]:  # one letter too many
+            if (node or self.wide) and e + 1 <= self.most[node]:  # one letter too many
                 out[node] = min(e + 1, out.get(node, 9))
         return self._add(out)
 
     def find(self, word: str) -> tuple[int, int] | None:
         """(edits, term number) of the nearest term."""
-        if len(self.sets) > self.MOST_STATES:
+        if len(self.sets) > self.MOST_STATES or self.nodes > self.MOST_NODES:
             self._reset()
         state, stem = 0, None
+        near = word not in self.skip
         for c in word:
             key = state, c if c in self.letters else ""
             state = self.step.get(key, -2)
@@ -128,9 +136,11 @@ class Matcher:
                 state = self.step[key] = self._go(*key)
             if state < 0:
                 return stem
-            stem = self.sticky[state] or stem
+            new = self.sticky[state]
+            if new and (near or not new[0]) and (stem is None or new[0] <= stem[0]):
+                stem = new
         hit = self.result[state]
-        if hit and hit[0] and word in self.skip:
+        if hit and hit[0] and not near:
             hit = None
         return min(x for x in (hit, stem) if x) if hit or stem else None
 
@@ -203,7 +213,8 @@ def choose_terms(rows: list, n_toxic: int, n_clean: int, least: int = 4, lift: f
 
     A word needs ``least`` of the former and to be ``lift`` times as frequent there.  A stem needs
     the same and at least four different words, none of which makes up most of it; of stems
-    that say the same, the longest.
+    that say the same, the longest.  Words that a stem covers stay, after the stems: an unedited
+    word is the stem's, a misspelt one is theirs, since longer texts forgive more edits.
     """
     odds = lambda t, c: ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
     good = {(r["term"], r["stem"]): r for r in rows if r["t"] >= least and odds(r["t"], r["c"]) >= lift}
@@ -225,7 +236,8 @@ def choose_terms(rows: list, n_toxic: int, n_clean: int, least: int = 4, lift: f
     covered = lambda w: any(w[:k] in stems for k in PREFIXES)
     weight = lambda r: float(min(1.0, np.log(odds(r["t"], r["c"])) / 6))
     out = [(w, False, weight(good[w, False])) for w in sorted(words) if not covered(w)]
-    return out + [(s, True, weight(good[s, True])) for s in sorted(stems)]
+    out += [(s, True, weight(good[s, True])) for s in sorted(stems)]
+    return out + [(w, False, weight(good[w, False])) for w in sorted(words) if covered(w)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 10_000, most_terms: int = 20_000) -> dict:
@@ -259,7 +271,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 10_000, most_terms: in
     terms = choose_terms(rows, n_toxic, n_clean, max(4, n_toxic // 150))
 
     def work():
-        reader = Reader(Matcher(terms))
+        reader = Reader(Matcher(terms, wide=True))
 
         def step(keys, texts):
             found = [hits(reader, t) for t in texts]
@@ -302,7 +314,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((terms, frozenset(model["skip"])))
 
     def work():
-        reader = Reader(Matcher(*shared.value))
+        reader = Reader(Matcher(*shared.value, wide=True))
 
         def step(keys, texts):
             found = [hits(reader, t) for t in texts]
@@ -334,7 +346,7 @@ def keep(docs: DataFrame, model: dict) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        reader = Reader(Matcher(*shared.value))
+        reader = Reader(Matcher(*shared.value, wide=True))
         for batch in batches:
             found = [hits(reader, t or "") for t in batch.column(at).to_pylist()]
             good = [float(np.dot(features(n, f, terms), weights)) < 0 for n, f in found]
