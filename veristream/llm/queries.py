@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veristream.llm import (
-    bpe, chat_format, embedding_dedup, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, token_counts, toxicity,
+    bpe, chat_format, embedding_dedup, jaccard_join, line_dedup, mixing, pii, quality_rules, secret_scan, token_counts, toxicity,
 )
 from veristream.llm.common import table
 
@@ -86,3 +86,8 @@ def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op4_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_dedup.groups(table(spark, sf, "embeddings"))
+
+
+@query
+def op13_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.report(table(spark, sf, "documents"))
