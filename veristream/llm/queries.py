@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veristream.llm import (
-    bpe, chat_format, embedding_dedup, jaccard_join, line_dedup, mixing, pii, quality_rules, secret_scan, source_audit, token_counts, toxicity,
+    bpe, chat_format, embedding_dedup, jaccard_join, line_dedup, mixing, pii, quality_rules, secret_scan, source_audit, token_counts, toxicity, whitening,
 )
 from veristream.llm.common import table
 
@@ -96,3 +96,8 @@ def op13_pii(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op11_source_audit(spark: SparkSession, sf: str) -> DataFrame:
     return source_audit.audit(table(spark, sf, "documents"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
