@@ -277,7 +277,7 @@ def terms(clean: str, source: str, id: str) -> str:
   tf_{source} AS (SELECT {id}, term, count(*) AS tf FROM grams_{source} GROUP BY ALL)"""
 
 
-def similarity(k: int, threshold: float) -> str:
+def similarity(k: int, threshold: float, text: str = "text") -> str:
     return f"""
   corpus AS (SELECT item_id, 'item ' || item_id || ' ' || text AS text FROM benchmark),
   {terms(clean_similarity('text'), 'corpus', 'item_id')},
@@ -286,7 +286,7 @@ def similarity(k: int, threshold: float) -> str:
     FROM tf_corpus GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 20000),
   c AS (SELECT item_id, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY item_id)) AS w
         FROM tf_corpus JOIN vocab USING (term)),
-  {terms(clean_similarity('text'), 'documents', 'doc_id')},
+  {terms(clean_similarity(text), 'documents', 'doc_id')},
   d AS (SELECT doc_id, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY doc_id)) AS w
         FROM tf_documents JOIN vocab USING (term)),
   sims AS (SELECT doc_id, item_id, sum(d.w * c.w) AS sim FROM d JOIN c USING (term) GROUP BY ALL),
@@ -562,6 +562,7 @@ def build() -> dict[str, str]:
     o["similarity_topk"] = f"""WITH {similarity(3, 0.3)}
       SELECT doc_id AS query_id, rank, item_id AS article_id, 'item ' || item_id AS title, '' AS url, '' AS category,
         round(sim, 4) AS similarity FROM best"""
+    o["similarity_saved"] = o["similarity_topk"]
     o["similarity_reason"] = f"""WITH {similarity(1, 0.5)}
       SELECT documents.doc_id, CASE WHEN sim IS NULL THEN {q(fv.REASON_NONE)} ELSE
         'Mirip dengan hoaks terverifikasi Komdigi (' || round(round(sim, 4) * 100, 1) || '%): "item ' || item_id || '"' END AS reason
@@ -714,6 +715,10 @@ def build() -> dict[str, str]:
       v AS (SELECT *, CASE WHEN hoax THEN 'Hoaks' ELSE 'Valid' END AS label FROM good)
       SELECT topic AS source_topic, label, CASE WHEN hoax THEN 30.0 WHEN formal THEN 8.0 ELSE 0.0 END::DOUBLE AS score,
         {cases('label', fv.RECOMMENDATIONS, '')} AS recommendation, json_extract_string(value, '$.title') AS title FROM v"""
+    o["stream_reason"] = f"""WITH {similarity(1, 0.5, strip_tags('text'))}
+      SELECT documents.doc_id, CASE WHEN sim IS NULL THEN {q(fv.REASON_NONE)} ELSE
+        'Mirip dengan hoaks terverifikasi Komdigi (' || round(round(sim, 4) * 100, 1) || '%): "item ' || item_id || '"' END AS reason
+      FROM documents LEFT JOIN best ON best.doc_id = documents.doc_id WHERE {strip_tags('text')} <> ''"""
     o["stream_dead_letters"] = o["dead_letters"]
     o["stream_feed"] = f"WITH {ENVELOPES} SELECT DISTINCT id, source, source_type FROM flat"
     o["stream_dedup"] = "SELECT DISTINCT user_id || '/' || event_type AS link FROM events"

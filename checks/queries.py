@@ -583,6 +583,23 @@ def similarity_topk(spark, sf):
     return m.select("query_id", "rank", "article_id", "title", "url", "category", "similarity")
 
 
+@query
+def similarity_saved(spark, sf):
+    """An index that knows how common terms are among the texts to come, saved, loaded, and left in place."""
+    path = scratch_path(spark, "index")
+    counts = features.term_stats(_similarity_terms(spark, sf))
+    similarity.build_index(tb.corpus(spark, sf), partitions=cores(spark), background=counts).save(path, cores(spark))
+    index = similarity.Index.load(spark, path)
+    d = tb.table(spark, sf, "documents")
+    m = similarity.topk(d, index, "doc_id", "text", 3, 0.3, cores(spark), reorder=False)
+    return m.select("query_id", "rank", "article_id", "title", "url", "category", "similarity")
+
+
+def _similarity_terms(spark, sf):
+    docs = spread(tb.table(spark, sf, "documents").select("text"), cores(spark))
+    return features.terms(docs.select(tx.clean_similarity(F.col("text")).alias("clean")), "clean").drop("clean")
+
+
 @query
 def similarity_reason(spark, sf):
     d, m = _matches(spark, sf, 1, 0.5)
@@ -979,6 +996,21 @@ def stream_enrich(spark, sf):
     )
 
 
+@query
+def stream_reason(spark, sf):
+    """Documents as chat messages through the enrichment stream, with the look-up of verified hoaxes."""
+    folder, out = scratch_path(spark, "topics"), scratch_path(spark, "analyzed")
+    d = spread(tb.table(spark, sf, "documents"), cores(spark))
+    d.select(F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("message")))).write.text(f"{folder}/{fv.INPUT_TOPICS[0]}")
+    index = similarity.build_index(tb.corpus(spark, sf), partitions=cores(spark))
+    stream = topics.read_topics(spark, folder=folder, files_per_trigger=cores(spark) // 2 or 1)
+    _run(jobs.run_enrich(stream, fv.OUTPUT_TOPIC, f"{out}/checkpoint", index=index, folder=out))
+    read = topics.read_topics_bounded(spark, [fv.OUTPUT_TOPIC], folder=f"{out}/{fv.OUTPUT_TOPIC}")
+    return enrich.parse_envelope(read).select(
+        F.get_json_object("original_data", "$.id").cast("long").alias("doc_id"), "analysis.reason"
+    )
+
+
 @query
 def stream_dead_letters(spark, sf):
     folder, out = _topic_folder(spark, sf), scratch_path(spark, "dead")

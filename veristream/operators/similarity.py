@@ -1,74 +1,141 @@
 """Most similar verified hoaxes: cosine of TF-IDF rows, top k above a threshold.
 
-The commonest terms have the longest posting lists and say least.  Every
-article's terms are ordered from rare to common and cut in two: the tail is the
-longest run of common terms with a norm below half the threshold ``t``, the
-head is the rest.  A text and an article with cosine >= t have, by
-Cauchy-Schwarz, a dot product over the head of at least t minus the tail's
-norm.  So texts are joined with heads only, the sums give few survivors, and
-the tail is added for those alone.  No similar pair is lost.
-
-Copies are handled once: equal cleaned texts, on either side, are one row of
-the computation.
+Both sides have their terms in one order, from rare to common.  The commonest few terms of the
+order are kept as a short dense array of every text, whose product is cheap.  What a pair can
+still gain from a term on, the common ones aside, is at most the product of both remaining norms
+(Cauchy-Schwarz).  A text and an article are joined by a term only where that product and the
+product of the common parts reach the threshold together; terms that come later are looked up
+for the pairs left, after the same test with what was found.  No similar pair is lost.
+
+The index keeps weights, remaining norms and order, bucketed by term, so that a saved one is
+never shuffled; long posting lists are in several chunks.  Copies are handled once: equal
+cleaned texts, on either side, are one row of the computation.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veristream import fixed_values as fv
 from veristream.functions import text as tx
-from veristream.functions.planning import compute_once
+from veristream.functions.planning import compute_once, explode_rows
 from veristream.operators import features
 from veristream.session import materialize, spread
 
 _SLACK = 1e-9  # rounding room of the sums, in favour of candidates
 TIE_DIGITS = 9  # similarities equal to this many digits are ties
+COMMON = 16  # commonest terms, kept dense
+CHUNK = 10_000  # postings of a term in one chunk, about
+BUCKETS = 64  # of a saved index
 
 
 @dataclass(frozen=True)
 class Index:
-    """Weights by distinct text, vocabulary, and the articles behind a text."""
+    """Postings by distinct text, vocabulary with its order, and the articles behind a text."""
 
-    weights: DataFrame  # text_key, term, df, weight
-    vocabulary: DataFrame  # term, total, df, idf
+    postings: DataFrame  # place (of the term), chunk, text_key, weight, slot, rest, after, all_rest, common
+    vocabulary: DataFrame  # term, total, df, idf, place, slot, chunks
     articles: DataFrame  # id, text_key, title, url, category
     n_terms: int
 
-    def save(self, path: str) -> None:
-        self.weights.repartition("term").sortWithinPartitions("term").write.mode(
-            "overwrite"
-        ).parquet(f"{path}/weights")
+    def save(self, path: str, buckets: int = BUCKETS) -> None:
+        """Postings as a table bucketed by term (its place) and chunk; everything else beside it."""
+        spark = self.postings.sparkSession
+        name = f"veristream_index_{uuid.uuid4().hex}"
+        (
+            self.postings.repartition(buckets, "place", "chunk").write.mode("overwrite")
+            .bucketBy(buckets, "place", "chunk").sortBy("place", "chunk")
+            .option("path", f"{path}/postings").saveAsTable(name)
+        )
+        spark.sql(f"DROP TABLE {name}")  # the files stay
         self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
         self.articles.write.mode("overwrite").parquet(f"{path}/articles")
+        facts = spark.range(1).select(F.lit(self.n_terms).alias("n_terms"), F.lit(buckets).alias("buckets"))
+        facts.write.mode("overwrite").parquet(f"{path}/facts")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, n_terms: int = fv.SIMILARITY_FEATURES) -> "Index":
+    def load(spark: SparkSession, path: str) -> "Index":
+        """The index saved at ``path``; its postings keep their buckets."""
         read = lambda name: spark.read.parquet(f"{path}/{name}")
-        return Index(read("weights"), read("vocabulary"), read("articles"), n_terms)
+        facts = read("facts").first()
+        name = f"veristream_index_{uuid.uuid4().hex}"
+        columns = read("postings").schema.toDDL()
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (place, chunk) SORTED BY (place, chunk) "
+            f"INTO {facts['buckets']} BUCKETS LOCATION '{path}/postings'"
+        )
+        return Index(spark.table(name), read("vocabulary"), read("articles"), facts["n_terms"])
 
 
-def _text_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("text_key", F.sha2("_clean", 256))
+def _text_key(clean: str = "_clean") -> Column:
+    """128 bits of the cleaned text's digest."""
+    return F.unhex(F.substring(F.sha2(clean, 256), 1, 32))
 
 
 def _distinct_texts(df: DataFrame) -> DataFrame:
-    """(text_key, _clean, copies), one row per cleaned text.
+    """(text_key, _clean, copies), one row per cleaned text, dealt by text_key.
 
     Copies are reduced in every task before the shuffle.
     """
-    return df.groupBy("text_key", "_clean").agg(F.count("*").alias("copies"))
+    return df.groupBy("text_key").agg(F.first("_clean").alias("_clean"), F.count("*").alias("copies"))
+
+
+def _ordered(vocab: DataFrame, seen: Column) -> DataFrame:
+    """Adds ``place`` (0 for the rarest), ``slot`` of the commonest and ``chunks``; a bounded table."""
+    back = F.row_number().over(Window.orderBy(seen.desc(), "term")) - 1
+    out = vocab.withColumn("_back", back)
+    return out.select(
+        "term", "total", "df", "idf", (-F.col("_back")).alias("place"),
+        F.when(F.col("_back") < COMMON, F.col("_back")).alias("slot"), F.ceil(F.col("df") / CHUNK).cast("int").alias("chunks"),
+    )
+
+
+def _counted(docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(text_key, term, tf) of vocabulary terms; ``docs`` come dealt by text_key."""
+    rows = explode_rows(docs, ["text_key"], F.col("terms"), "term").join(vocab.select("term"), "term", "left_semi")
+    return rows.groupBy("text_key", "term").agg(F.count("*").alias("tf"))
+
+
+def _with_norms(counted: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Postings: unit weights, and the norm that is left from each term on.
+
+    ``rest`` and ``after`` leave the common terms out and count the term itself in or not;
+    ``all_rest`` counts everything in.
+    """
+    row = Window.partitionBy("text_key")
+    onwards = row.orderBy(F.col("place").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    raw = counted.join(vocab.select("term", "idf", "place", "slot", "chunks"), "term").withColumn("_x", F.col("tf") * F.col("idf"))
+    unit = raw.withColumn("weight", F.col("_x") / F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(row)))
+    square = F.col("weight") * F.col("weight")
+    rare = F.when(F.col("slot").isNull(), square).otherwise(0.0)
+    common = [F.coalesce(F.max(F.when(F.col("slot") == i, F.col("weight"))).over(row), F.lit(0.0)) for i in range(COMMON)]
+    left = F.sum(rare).over(onwards)
+    return unit.select(
+        "text_key", "place", "slot", "chunks", "weight",
+        F.when(F.col("slot").isNull(), F.sqrt(left)).otherwise(0.0).alias("rest"),
+        F.when(F.col("slot").isNull(), F.sqrt(F.greatest(left - square, F.lit(0.0)))).otherwise(0.0).alias("after"),
+        F.sqrt(F.sum(square).over(onwards)).alias("all_rest"), F.array(*common).alias("common"),
+    )
+
+
+def _postings(counted: DataFrame, vocab: DataFrame) -> DataFrame:
+    """The index side: every posting in a chunk of its term's list."""
+    chunk = F.pmod(F.xxhash64("text_key"), F.col("chunks")).cast("int").alias("chunk")
+    return _with_norms(counted, vocab).select("place", chunk, "text_key", "weight", "slot", "rest", "after", "all_rest", "common")
 
 
 def build_index(
-    corpus: DataFrame, id: str = "id", n_terms: int = fv.SIMILARITY_FEATURES, partitions: int | None = None
+    corpus: DataFrame, id: str = "id", n_terms: int = fv.SIMILARITY_FEATURES, partitions: int | None = None,
+    background: DataFrame | None = None,
 ) -> Index:
     """Index of articles with ``title`` and ``body_text``.
 
     Missing ``url`` and ``category`` columns count as ''.  Articles whose
-    cleaned text is empty are left out.
+    cleaned text is empty are left out.  ``background`` (term, df) tells how common terms are
+    among the texts to be looked up; it decides the order and with it the work, not the result.
     """
     blank = F.lit("")
     given = lambda c: F.coalesce(F.col(c), blank) if c in corpus.columns else blank
@@ -82,37 +149,111 @@ def build_index(
     )
     articles = compute_once(articles, "_clean", tx.clean_similarity(F.col("_clean")))
     # Cleaned once, used for texts, statistics, weights and look-ups.
-    articles = materialize(_text_key(articles.filter(F.length("_clean") > 0)), "similarity-articles")
-    distinct = materialize(_distinct_texts(articles), "similarity-texts")
-    prepared = features.terms(distinct, "_clean").drop("_clean")
-    stats = features.term_stats(prepared, copies="copies")
+    articles = materialize(articles.filter(F.length("_clean") > 0).withColumn("text_key", _text_key()), "similarity-articles")
+    distinct = _distinct_texts(articles)
+    prepared = materialize(features.terms(distinct, "_clean").drop("_clean"), "similarity-texts")
+    chosen = features.idf(
+        features.vocabulary(features.term_stats(prepared, copies="copies"), n_terms), features.count_docs(prepared, "copies")
+    )
+    seen = F.col("df")
+    if background is not None:
+        chosen = chosen.join(background.select("term", F.col("df").alias("_seen")), "term", "left")
+        seen = F.coalesce("_seen", F.lit(0))
+    vocab = materialize(_ordered(chosen, seen), "similarity-vocabulary")
+    counted = _counted(prepared.repartition("text_key"), vocab)
+    return Index(materialize(_postings(counted, vocab), "similarity-postings"), vocab, articles.drop("_clean"), n_terms)
+
+
+def _reordered(index: Index, counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings and vocabulary in the order of rarity among the texts asked for."""
+    asked = counted.groupBy("term").agg(F.count("*").alias("_seen"))
     vocab = materialize(
-        features.idf(
-            features.vocabulary(stats, n_terms), features.count_docs(distinct, "copies")
-        ),
-        "similarity-vocabulary",
+        _ordered(index.vocabulary.drop("place", "slot", "chunks").join(asked, "term", "left"), F.coalesce("_seen", F.lit(0))), "similarity-order"
     )
-    weights = features.tfidf_long(
-        prepared.repartition("text_key"), vocab, "text_key", n_terms=n_terms
+    # tf is known only up to the idf's factor and the length, and both cancel out.
+    again = index.postings.select("text_key", "place", "weight").join(index.vocabulary.select("place", "term", F.col("idf").alias("_idf")), "place")
+    return _postings(again.select("text_key", "term", (F.col("weight") / F.col("_idf")).alias("tf")), vocab), vocab
+
+
+def _dot(left: str, right: str) -> Column:
+    total = F.lit(0.0)
+    for i in range(COMMON):
+        total = total + F.col(left)[i] * F.col(right)[i]
+    return total
+
+
+def candidates(asked: DataFrame, postings: DataFrame, threshold: float) -> DataFrame:
+    """(query_key, text_key, acc, last, dot): pairs that may be similar.
+
+    ``asked`` are the query side's postings, in the same order of terms.  ``acc`` is the product
+    over the terms joined, up to place ``last``, ``dot`` that over the common ones.
+    """
+    # Neither side's terms can decide once its own norm has fallen below the threshold.
+    reach = F.col("all_rest") >= threshold - _SLACK
+    mine = explode_rows(
+        asked.filter(reach),
+        [F.col("text_key").alias("query_key"), "place", F.col("weight").alias("_w"), F.col("rest").alias("_rest"),
+         F.col("after").alias("_after"), F.col("common").alias("_common")],
+        F.sequence(F.lit(0), F.col("chunks") - 1), "chunk",
+    )
+    joined = mine.join(postings.filter(reach), ["place", "chunk"]).withColumn("_dot", _dot("_common", "common"))
+    near = joined.filter(F.col("_rest") * F.col("rest") + F.col("_dot") >= threshold - _SLACK)
+    rare = F.col("slot").isNull()
+    return near.groupBy("query_key", "text_key").agg(
+        F.sum(F.when(rare, F.col("_w") * F.col("weight")).otherwise(0.0)).alias("acc"),
+        F.max("place").alias("last"),
+        # Remaining products fall with the place, so the least one belongs to the last term.
+        F.min(F.col("_after") * F.col("after")).alias("_open"),
+        F.first("_dot").alias("dot"),
+    ).filter(F.col("acc") + F.col("_open") + F.col("dot") >= threshold - _SLACK).drop("_open")
+
+
+def _similar(asked: DataFrame, postings: DataFrame, threshold: float) -> DataFrame:
+    """(query_key, text_key, _sim) of the pairs at or above the threshold."""
+    pairs = materialize(candidates(asked, postings, threshold), "similarity-candidates")
+    rare = F.col("slot").isNull()
+    mine = asked.filter(rare).select(F.col("text_key").alias("query_key"), "place", F.col("weight").alias("_w"))
+    rest = (
+        pairs.select("query_key", "text_key", "last")
+        .join(postings.filter(rare).select("text_key", "place", "weight"), "text_key").filter(F.col("place") > F.col("last"))
+        .join(mine, ["query_key", "place"])
+        .groupBy("query_key", "text_key").agg(F.sum(F.col("_w") * F.col("weight")).alias("_more"))
     )
-    return Index(
-        materialize(weights, "similarity-weights"), vocab, articles.drop("_clean"), n_terms
+    return (
+        pairs.join(rest, ["query_key", "text_key"], "left")
+        .withColumn("_sim", F.col("acc") + F.col("dot") + F.coalesce("_more", F.lit(0.0)))
+        .filter(F.round("_sim", TIE_DIGITS) >= threshold)
+        .select("query_key", "text_key", "_sim")
     )
 
 
-def _cut(weights: DataFrame, key: str, threshold: float) -> DataFrame:
-    """Adds ``_in_tail`` and ``_tail_norm`` to the terms of each row."""
-    from_common = (
-        Window.partitionBy(key)
-        .orderBy(F.col("df").desc(), F.col("term").desc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _best(asked: DataFrame, index: Index, k: int, threshold: float, reorder: bool) -> DataFrame:
+    """(query_key, rank, id, title, url, category, _sim) for (text_key, _clean) rows."""
+    if threshold <= 0:
+        raise ValueError("threshold must be above 0")
+    prepared = features.terms(_distinct_texts(asked), "_clean").select("text_key", "terms")
+    counted = _counted(prepared, index.vocabulary)
+    postings, vocab = index.postings, index.vocabulary
+    if reorder:
+        counted = materialize(counted, "similarity-counts")
+        postings, vocab = _reordered(index, counted)
+        postings = materialize(postings, "similarity-reordered")
+    # Read twice: by the candidates, and for what they have in common besides.
+    q = materialize(_with_norms(counted, vocab), "similarity-queries")
+    similar = _similar(q, postings, threshold)
+    # Of articles with one text only the first k can be among the top k.
+    same_text = Window.partitionBy("text_key").orderBy("id")
+    firsts = (
+        index.articles.withColumn("_r", F.row_number().over(same_text))
+        .filter(F.col("_r") <= k)
+        .drop("_r")
     )
-    square = F.col("weight") * F.col("weight")
-    marked = weights.withColumn(
-        "_in_tail", F.sum(square).over(from_common) < (threshold / 2) ** 2
+    best = Window.partitionBy("query_key").orderBy(F.round("_sim", TIE_DIGITS).desc(), "id")
+    return (
+        similar.join(firsts, "text_key").drop("text_key")
+        .withColumn("rank", F.row_number().over(best))
+        .filter(F.col("rank") <= k)
     )
-    tail = F.sum(F.when(F.col("_in_tail"), square).otherwise(0.0)).over(Window.partitionBy(key))
-    return marked.withColumn("_tail_norm", F.sqrt(tail))
 
 
 def topk(
@@ -123,68 +264,19 @@ def topk(
     k: int = 1,
     threshold: float = fv.SIMILARITY_THRESHOLD,
     partitions: int | None = None,
+    reorder: bool = True,
 ) -> DataFrame:
     """(query_id, rank, article_id, title, url, category, similarity).
 
     Up to ``k`` rows per query, similarity rounded to 4 digits, ties in order
-    of the article id.
+    of the article id.  ``reorder`` takes the order of terms from the queries, which shuffles
+    the index once and leaves fewest candidates; without it the index stays where it is.
     """
-    if threshold <= 0:
-        raise ValueError("threshold must be above 0")
     texts = spread(queries.select(F.col(id).alias("query_id"), F.col(text).alias("_text")), partitions)
     cleaned = compute_once(texts, "_clean", tx.clean_similarity(F.col("_text"))).drop("_text")
-    keyed = compute_once(
-        cleaned.filter(F.length("_clean") > 0), "text_key", F.sha2("_clean", 256)
-    )
-    asked = materialize(keyed, "similarity-asked")
-    distinct = _distinct_texts(asked).withColumnRenamed("text_key", "query_key")
-    prepared = features.terms(distinct, "_clean").select("query_key", "terms")
-    # Read twice below: against the heads, and for the survivors' tails.
-    q = materialize(
-        features.tfidf_long(
-            prepared.repartition("query_key"), index.vocabulary, "query_key", n_terms=index.n_terms
-        ).select("query_key", "term", F.col("weight").alias("_wq")),
-        "similarity-queries",
-    )
-    cut = _cut(index.weights, "text_key", threshold)
-    product = F.col("_wq") * F.col("weight")
-    survivors = (
-        q.join(cut.filter(~F.col("_in_tail")), "term")
-        .groupBy("query_key", "text_key")
-        .agg(F.sum(product).alias("_head"), F.first("_tail_norm").alias("_tail_norm"))
-        .filter(F.col("_head") + F.col("_tail_norm") >= threshold - _SLACK)
-        .select("query_key", "text_key", "_head")
-    )
-    survivors = materialize(survivors, "similarity-survivors")
-    tails = (
-        survivors.select("query_key", "text_key")
-        .join(cut.filter("_in_tail").select("text_key", "term", "weight"), "text_key")
-        .join(q, ["query_key", "term"])
-        .groupBy("query_key", "text_key")
-        .agg(F.sum(product).alias("_tail"))
-    )
-    similar = (
-        survivors.join(tails, ["query_key", "text_key"], "left")
-        .withColumn("_sim", F.col("_head") + F.coalesce("_tail", F.lit(0.0)))
-        .filter(F.round("_sim", TIE_DIGITS) >= threshold)
-        .select("query_key", "text_key", "_sim")
-    )
-    # Of articles with one text only the first k can be among the top k.
-    same_text = Window.partitionBy("text_key").orderBy("id")
-    firsts = (
-        index.articles.withColumn("_r", F.row_number().over(same_text))
-        .filter(F.col("_r") <= k)
-        .drop("_r")
-    )
-    best = Window.partitionBy("query_key").orderBy(F.round("_sim", TIE_DIGITS).desc(), "id")
-    ranked = (
-        similar.join(firsts, "text_key")
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-    )
-    return asked.select("query_id", F.col("text_key").alias("query_key")).join(
-        ranked, "query_key"
-    ).select(
+    asked = materialize(cleaned.filter(F.length("_clean") > 0).withColumn("text_key", _text_key()), "similarity-asked")
+    ranked = _best(asked.select("text_key", "_clean"), index, k, threshold, reorder)
+    return asked.select("query_id", F.col("text_key").alias("query_key")).join(ranked, "query_key").select(
         "query_id",
         "rank",
         F.col("id").alias("article_id"),
@@ -195,18 +287,27 @@ def topk(
     )
 
 
+def _in_words(similarity: Column, title: Column) -> Column:
+    percent = F.round(F.round(similarity, 4) * 100, 1).cast("string")
+    return F.when(similarity.isNotNull(), F.format_string(fv.REASON_MATCH, percent, title)).otherwise(F.lit(fv.REASON_NONE))
+
+
+def with_reason(df: DataFrame, index: Index, text: str = "text", threshold: float = fv.SIMILARITY_THRESHOLD) -> DataFrame:
+    """Adds ``reason`` to rows with a text, in batches small against the index (a stream's).
+
+    Rows need no id: equal texts share one look-up.  The index is used as it is.
+    """
+    keyed = compute_once(df, "_clean", tx.clean_similarity(F.coalesce(F.col(text), F.lit("")))).withColumn("_key", _text_key())
+    asked = keyed.filter(F.length("_clean") > 0).select(F.col("_key").alias("text_key"), "_clean")
+    best = _best(asked, index, 1, threshold, reorder=False).select(F.col("query_key").alias("_key"), F.col("title").alias("_title"), "_sim")
+    return keyed.join(best, "_key", "left").withColumn("reason", _in_words(F.col("_sim"), F.col("_title"))).drop("_key", "_clean", "_title", "_sim")
+
+
 def reason(queries: DataFrame, matches: DataFrame, id: str = "id") -> DataFrame:
     """Adds ``reason``: the best match in words, or that there is none."""
     best = matches.filter("rank = 1").select(
-        F.col("query_id").alias(id), F.col("title").alias("_title"), "similarity"
+        F.col("query_id").alias(id), F.col("title").alias("_title"), F.col("similarity").alias("_sim")
     )
-    percent = F.round(F.col("similarity") * 100, 1).cast("string")
-    found = F.format_string(fv.REASON_MATCH, percent, F.col("_title"))
     return (
-        queries.join(best, id, "left")
-        .withColumn(
-            "reason",
-            F.when(F.col("similarity").isNotNull(), found).otherwise(F.lit(fv.REASON_NONE)),
-        )
-        .drop("_title", "similarity")
+        queries.join(best, id, "left").withColumn("reason", _in_words(F.col("_sim"), F.col("_title"))).drop("_title", "_sim")
     )

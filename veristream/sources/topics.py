@@ -48,8 +48,10 @@ def read_topics(
 
 def _from_folder(lines: DataFrame, topics) -> DataFrame:
     parts = F.split("_metadata.file_path", "/")
+    above = F.element_at(parts, -2)
     return lines.select(
-        F.element_at(parts, -2).alias("topic"),
+        # Files of a numbered batch lie one folder deeper.
+        F.when(F.startswith(above, F.lit("batch=")), F.element_at(parts, -3)).otherwise(above).alias("topic"),
         "value",
         F.col("_metadata.file_modification_time").alias("timestamp"),
     ).filter(F.col("topic").isin(list(topics)))
@@ -78,6 +80,17 @@ def to_messages(df: DataFrame, *skip: str) -> DataFrame:
     return df.select(*skip, F.to_json(F.struct(*columns)).alias("value"))
 
 
+def write_batch(df: DataFrame, topic: str, batch_id: int, bootstrap=None, folder=None) -> None:
+    """Publish one numbered batch of ``value`` rows; in a folder a replay takes the first try's place."""
+    rows = df.select("value")
+    if bootstrap:
+        rows.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("kafka.acks", "all").option(
+            "kafka.retries", "5"
+        ).option("topic", topic).save()
+    else:
+        rows.write.mode("overwrite").text(f"{folder}/{topic}/batch={batch_id}")
+
+
 def write_topic(df: DataFrame, topic: str, checkpoint: str, bootstrap=None, folder=None, trigger=None):
     """Publish a stream of ``value`` rows; all replicas must confirm, 5 retries.
 

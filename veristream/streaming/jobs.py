@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from veristream import schemas
-from veristream.operators import enrich as en, feed
+from veristream.operators import enrich as en, feed, similarity
 from veristream.operators.feedback import codes
 from veristream.plans.verdict import verdict
 from veristream.sources import readers, topics
@@ -36,13 +36,34 @@ def split_bad(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return en.usable(cleaned), en.dead_letters(cleaned)
 
 
-def run_enrich(messages: DataFrame, topic: str, checkpoint: str, scorer=verdict, **carrier):
-    """Publish analysed envelopes on the output topic."""
+def run_enrich(
+    messages: DataFrame, topic: str, checkpoint: str, scorer=verdict, index: similarity.Index | None = None, **carrier
+):
+    """Publish analysed envelopes on the output topic.
+
+    With an ``index`` of verified hoaxes the analysis tells the ``reason``: a look-up batch by
+    batch, without state, in which the index stays where it is.  A folder's batch that is
+    replayed replaces its first try.
+    """
+    if index is not None:
+
+        def step(batch: DataFrame, batch_id: int) -> None:
+            rows = similarity.with_reason(en.usable(en.clean_messages(batch)), index)
+            topics.write_batch(en.envelope_json(en.envelope(en.with_verdict(rows, scorer))), topic, batch_id, **_place(carrier))
+
+        return (
+            messages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+            .trigger(**(carrier.get("trigger") or NOW)).start()
+        )
     return topics.write_topic(
         en.envelope_json(enrich(messages, scorer)), topic, checkpoint, **carrier
     )
 
 
+def _place(carrier: dict) -> dict:
+    return {k: v for k, v in carrier.items() if k != "trigger"}
+
+
 def run_dead_letters(messages: DataFrame, topic: str, checkpoint: str, **carrier):
     """Publish messages that cannot be analysed, with the reason."""
     _, bad = split_bad(messages)
