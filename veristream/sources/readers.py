@@ -8,15 +8,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from veristream import schemas
+from veristream.functions.planning import compute_once
 from veristream.functions.text import strip
-from veristream.sources import files
+from veristream.sources import files, records
+
+
+def _parsed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """CSV records in ``value`` to the schema's columns; those that do not fit are skipped."""
+    bad = "_corrupt_record"
+    ddl = T.StructType([*schema.fields, T.StructField(bad, T.StringType())]).toDDL()
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+    keep = [c for c in rows.columns if c != "value"]
+    parsed = compute_once(rows, "_row", F.from_csv("value", ddl, options)).filter(F.col(f"_row.{bad}").isNull())
+    return parsed.select(*keep, *[F.col(f"_row.`{f.name}`").alias(f.name) for f in schema])
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    """UTF-8 CSV with a header; lines that do not fit the schema are skipped."""
-    return spark.read.csv(
-        path, schema=schema, header=True, multiLine=True, escape='"', mode="DROPMALFORMED"
-    )
+    """UTF-8 CSV with a header; records that do not fit the schema are skipped.
+
+    Fields may hold line breaks in quotes, and yet many tasks read a large file.
+    """
+    _, rows = records.read_records(spark, path)
+    return _parsed(rows.drop("path"), schema)
 
 
 def read_json_array(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
@@ -79,23 +92,28 @@ def read_glob(spark: SparkSession, glob: str, fmt: str = "csv", prefix: str = ""
         if fmt in ("parquet", "orc"):
             reader = reader.option("mergeSchema", True)
         return _as_text(reader.load(glob), prefix)
-    by_header: dict[str, list[str]] = {}
-    for path in files.expand(spark, glob):
-        by_header.setdefault(files.first_line(spark, path), []).append(path)
-    if not by_header:
+    found = files.expand(spark, glob)
+    if not found:
         raise FileNotFoundError(glob)
+    headers, rows = records.read_records(spark, found)
+    by_header: dict[str, list[str]] = {}
+    for path, header in sorted(headers.items()):
+        by_header.setdefault(header, []).append(path)
     out = None
-    for paths in by_header.values():
-        # Header only: column names come from the first line, all types text.
-        one = spark.read.csv(
-            paths, header=True, multiLine=True, escape='"', mode="DROPMALFORMED",
-            inferSchema=False, enforceSchema=False,
-        )
-        part = _as_text(one, prefix)
+    for header, paths in by_header.items():
+        part = _parsed(rows.filter(F.col("path").isin(paths)), _text_columns(spark, header))
+        name = F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B")))
+        part = part.withColumn("source", F.concat(F.lit(prefix), name)).drop("path")
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
+def _text_columns(spark: SparkSession, header: str) -> T.StructType:
+    """Columns of text, named by a header record."""
+    names = spark.read.csv(spark.sparkContext.parallelize([header]), header=True, multiLine=True, escape='"').columns
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def first_existing(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType, fmt: str = "parquet", **options
 ) -> DataFrame:
