@@ -204,11 +204,17 @@ STATUS = """CASE WHEN lower(coalesce(status, '')) IN ('aktif', 'active') THEN 'A
 
 HASH = "md5(CAST(doc_id AS VARCHAR) || ':42')"
 
-RANKED = f"""ranked AS (
-  SELECT doc_id, final_label,
-    row_number() OVER (PARTITION BY final_label ORDER BY {HASH}, doc_id) AS pos,
+HASH_OR_NOT = "md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':42')"
+
+
+def ranked(label: str, key: str = "doc_id") -> str:
+    return f"""ranked AS (
+  SELECT doc_id, final_label, text_md5, rank() OVER (PARTITION BY final_label ORDER BY {HASH_OR_NOT}) AS pos,
     count(*) OVER (PARTITION BY final_label) AS size
-  FROM labeled)"""
+  FROM (SELECT {key} AS doc_id, {label} AS final_label, md5(text) AS text_md5 FROM labeled))"""
+
+
+GAPS = "CASE WHEN doc_id % 10 <> 3 THEN final_label END"
 
 
 def numbers(key: str, prefix: str, factors) -> str:
@@ -490,16 +496,17 @@ def build() -> dict[str, str]:
     o["dedup_keep_first"] = "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1"
     o["min_length"] = "SELECT doc_id FROM documents WHERE length(text) > 400"
     o["drop_null"] = "SELECT doc_id, quality FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL AND text IS NOT NULL"
-    o["gold_balanced"] = f"""WITH {LABELED}, {RANKED},
-      sizes AS (SELECT DISTINCT final_label, size FROM ranked WHERE size < 60),
+    n = fv.GOLD_PER_CLASS
+    o["gold_balanced"] = f"""WITH {LABELED}, {ranked(GAPS)},
+      sizes AS (SELECT DISTINCT final_label, size FROM ranked WHERE size < {n} AND final_label IS NOT NULL),
       draws AS (SELECT final_label, 1 + ('0x' || substring(md5(final_label || ':' || i || ':42'), 1, 12))::BIGINT % size AS pos
-                FROM sizes, range(60) r(i))
-      SELECT doc_id, final_label FROM ranked WHERE size >= 60 AND pos <= 60
-      UNION ALL SELECT doc_id, final_label FROM draws JOIN ranked USING (final_label, pos)"""
-    o["stratified_split"] = f"""WITH {LABELED}, {RANKED}
-      SELECT doc_id, final_label, CASE WHEN pos <= ceil(0.2 * size) THEN 'test' ELSE 'train' END AS part FROM ranked"""
-    o["three_way_split"] = f"""WITH {LABELED}, {RANKED}
-      SELECT doc_id, final_label, CASE WHEN pos <= ceil(0.15 * size) THEN 'test' WHEN pos <= ceil(0.30 * size) THEN 'val'
+                FROM sizes, range({n}) r(i))
+      SELECT doc_id, final_label, text_md5 FROM ranked WHERE size >= {n} AND pos <= {n} AND final_label IS NOT NULL
+      UNION ALL SELECT doc_id, final_label, text_md5 FROM draws JOIN ranked USING (final_label, pos)"""
+    o["stratified_split"] = f"""WITH {LABELED}, {ranked(GAPS, "CASE WHEN doc_id % 10 <> 4 THEN doc_id END")}
+      SELECT doc_id, final_label, text_md5, CASE WHEN pos <= ceil(0.2 * size) THEN 'test' ELSE 'train' END AS part FROM ranked"""
+    o["three_way_split"] = f"""WITH {LABELED}, {ranked(GAPS)}
+      SELECT doc_id, final_label, text_md5, CASE WHEN pos <= ceil(0.15 * size) THEN 'test' WHEN pos <= ceil(0.30 * size) THEN 'val'
         ELSE 'train' END AS part FROM ranked"""
     o["shuffled"] = f"SELECT doc_id, source FROM documents ORDER BY {HASH}, doc_id"
     o["class_weights"] = f"""WITH {LABELED}, n AS (SELECT {CODE} AS label_num, count(*) AS n FROM labeled GROUP BY 1)

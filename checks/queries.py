@@ -424,21 +424,28 @@ def drop_null(spark, sf):
 
 @query
 def gold_balanced(spark, sf):
-    picked = sampling.balance(tb.labeled(spark, sf).select("doc_id", "final_label"), 60, 42, key="doc_id")
-    return picked.select("doc_id", "final_label")
+    picked = sampling.balance(_with_gaps(tb.labeled(spark, sf), "final_label"), fv.GOLD_PER_CLASS, 42, key="doc_id")
+    return picked.select("doc_id", "final_label", F.md5("text").alias("text_md5"))
+
+
+def _with_gaps(rows, *columns):
+    """Nulls in some rows of the columns, each in other rows."""
+    return rows.withColumns({
+        c: F.when(F.col("doc_id") % 10 != 3 + k, F.col(c)) for k, c in enumerate(columns)
+    })
 
 
 @query
 def stratified_split(spark, sf):
-    rows = tb.labeled(spark, sf).select("doc_id", "final_label")
-    return sampling.split(rows, key="doc_id")
+    rows = _with_gaps(tb.labeled(spark, sf), "final_label", "doc_id")
+    return sampling.split(rows, key="doc_id").select("doc_id", "final_label", "part", F.md5("text").alias("text_md5"))
 
 
 @query
 def three_way_split(spark, sf):
-    rows = tb.labeled(spark, sf).select("doc_id", "final_label")
+    rows = _with_gaps(tb.labeled(spark, sf), "final_label")
     parts = [("test", "0.15"), ("val", "0.15"), ("train", "0.7")]
-    return sampling.split(rows, parts, key="doc_id")
+    return sampling.split(rows, parts, key="doc_id").select("doc_id", "final_label", "part", F.md5("text").alias("text_md5"))
 
 
 @query

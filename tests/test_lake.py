@@ -1,7 +1,11 @@
 """Silver and gold: keep-first, exact class sizes, skew, repeatability."""
 
+import hashlib
+import math
 from collections import Counter
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from veristream import fixed_values as fv, schemas
@@ -113,3 +117,30 @@ def test_medallion(spark, tmp_path):
     }
     assert gold.columns == schemas.LABELED_TEXT.names
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 100
+
+
+@pytest.mark.parametrize("small", [5, 20_000])
+def test_split_compares_with_the_exact_hash(spark, monkeypatch, small):
+    """Few hashes a bucket make the histogram go down to the end; a frequent key is one hash."""
+    monkeypatch.setattr(sampling, "SMALL", small)
+    rows = [(str(i) if i % 4 else None, ["a", "a", "a", "b", None][i % 5], "t" * 50) for i in range(600)]
+    df = spark.createDataFrame(rows, "id string, final_label string, text string").repartition(3)
+    parts = [("x", "0"), ("y", "0.1"), ("z", "0.33"), ("rest", "0.57")]
+    out = sampling.split(df, parts, key="id")
+    got = sorted(((r["id"], r["final_label"], r["part"]) for r in out.collect()), key=str)
+    want = []
+    for label in ("a", "b", None):
+        mine = sorted((hashlib.md5(f"{i or ''}:42".encode()).hexdigest(), str(i), i) for i, la, _ in rows if la == label)
+        first = {}
+        for k, (h, _, i) in enumerate(mine, 1):
+            k = first.setdefault(h, k)
+            want.append((i, label, "y" if k <= math.ceil(Decimal("0.1") * len(mine)) else "z" if k <= math.ceil(Decimal("0.43") * len(mine)) else "rest"))
+    assert got == sorted(want, key=str)
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange range" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_balance_of_one_frequent_key(spark):
+    df = spark.createDataFrame([("same", "a", str(i)) for i in range(300)] + [(str(i), "b", "t") for i in range(30)], "id string, final_label string, text string")
+    counts = {r["final_label"]: r["count"] for r in sampling.balance(df, 100, key="id").groupBy("final_label").count().collect()}
+    assert counts == {"a": 100, "b": 100}

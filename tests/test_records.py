@@ -70,7 +70,7 @@ def test_glob_of_files_with_other_columns(spark, tmp_path, blocks):
 
 @pytest.mark.parametrize("line,out,inside", [
     ("", False, True), ("a,b", False, True), ('"a', True, False), ('a"b', False, False), ('"a""', True, False), ('"a"",b', True, False),
-    ('x,"', True, False), ('","', False, True), ('"",""', False, False), (' "a', True, False), ('a" ,"b', True, True),
+    ('x,"', True, False), ('","', False, True), ('"",""', False, True), (' "a', True, False), ('a" ,"b', True, True),
 ])
 def test_state_of_a_line(line, out, inside):
     assert (records.inside_after(line, False), records.inside_after(line, True)) == (out, inside)
