@@ -441,6 +441,18 @@ def build() -> dict[str, str]:
     o["alerts"] = f"""WITH {FEED} SELECT id, label, confidence FROM feed
       WHERE label IN ('Hoaks', 'Penipuan') AND confidence >= 15"""
     o["purge"] = f"WITH {FEED} SELECT id, source_type FROM feed WHERE source_type <> 'RSS'"
+    o["purge_table"] = f"""WITH {FEED} SELECT id, source_type, text_snippet, (SELECT count(*) FROM feed WHERE source_type = 'RSS') AS n_deleted
+      FROM feed WHERE source_type <> 'RSS'"""
+    o["reclean_stored"] = f"""WITH {FEED} SELECT id, CASE WHEN source_type = 'RSS' THEN text_snippet || ' & x' ELSE text_snippet END AS text_snippet,
+        (SELECT count(*) FROM feed WHERE source_type = 'RSS') AS n_changed FROM feed"""
+    o["html_references"] = f"""SELECT page_id, 'Café ’…&lt; &nosuch; –©' || CASE WHEN text <> '' THEN ' ' || text ELSE '' END AS out
+      FROM (SELECT page_id, {pieces('html', ' ')} AS text FROM pages)"""
+    o["length_shifted"] = """
+      SELECT count(text) AS count, round(1000000000 + avg(length(text)), 4) AS mean, round(stddev_samp(length(text)), 4) AS std,
+        1000000000 + min(length(text))::DOUBLE AS min, 1000000000 + quantile_cont(length(text), 0.25) AS p25,
+        1000000000 + quantile_cont(length(text), 0.5) AS p50, 1000000000 + quantile_cont(length(text), 0.75) AS p75,
+        1000000000 + max(length(text))::DOUBLE AS max FROM documents"""
+    o["first_existing"] = "SELECT item_id, md5(text) AS text_md5 FROM benchmark"
     o["reclean"] = f"""
       WITH r AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url ELSE html END AS old FROM pages),
       n AS (SELECT page_id, old, CASE WHEN contains(old, '<') AND contains(old, '>') THEN {pieces('old', ' ')} ELSE old END AS new FROM r)
@@ -727,15 +739,16 @@ def build() -> dict[str, str]:
         'Mirip dengan hoaks terverifikasi Komdigi (' || round(round(sim, 4) * 100, 1) || '%): "item ' || item_id || '"' END AS reason
       FROM documents LEFT JOIN best ON best.doc_id = documents.doc_id WHERE {strip_tags('text')} <> ''"""
     o["stream_dead_letters"] = o["dead_letters"]
-    o["stream_feed"] = f"WITH {ENVELOPES} SELECT DISTINCT id, source, source_type FROM flat"
+    o["stream_feed"] = f"""WITH {ENVELOPES} SELECT id, source, source_type, timestamp, text_snippet FROM flat JOIN events USING (event_id)
+      QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts, event_id % 3, event_id) = 1"""
     o["stream_dedup"] = "SELECT DISTINCT user_id || '/' || event_type AS link FROM events"
     o["stream_hourly"] = f"""
       SELECT epoch(date_trunc('hour', ts))::BIGINT AS hour_start, count(*) AS n_messages,
         count_if(event_type IN ('error', 'click'))::BIGINT AS n_risk FROM events GROUP BY 1
       HAVING hour_start + 3600 <= (SELECT epoch(max(ts)) - 600 FROM events)"""
     o["stream_link_surge"] = """
-      WITH w AS (SELECT 'bit.ly/' || event_type AS link, (floor(epoch(ts) / 300)::BIGINT - i) * 300 AS window_start
+      WITH w AS (SELECT 'bit.ly/' || event_type AS link, user_id % 20 AS channel, (floor(epoch(ts) / 300)::BIGINT - i) * 300 AS window_start
         FROM events, range(6) r(i))
-      SELECT window_start, link, count(*) AS n_uses FROM w GROUP BY ALL
+      SELECT window_start, link, count(*) AS n_uses, count(DISTINCT channel) AS n_channels FROM w GROUP BY ALL
       HAVING window_start + 1800 <= (SELECT epoch(max(ts)) - 600 FROM events)"""
     return o

@@ -278,6 +278,68 @@ def alerts(spark, sf):
     return feed.alerts(tb.live_feed(spark, sf), 15.0).select("id", "label", "confidence")
 
 
+def _feed_table(spark, sf, use):
+    """The feed rows in a table of their own: what ``use`` makes of it, and its rows afterwards."""
+    path = scratch_path(spark, "feed")
+    name = "veristream_feed_" + path.rsplit("-", 1)[1]
+    feed.ensure_table(spark, name, path)
+    try:
+        rows = tb.live_feed(spark, sf)
+        feed.insert_ignore(rows.filter(F.col("source_type") != "Telegram"), name)
+        feed.insert_ignore(rows, name)
+        n = use(name)
+        # Read from its files: the name goes, they stay.
+        return n, spark.read.schema(schemas.LIVE_FEED).parquet(feed._location(spark, name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@query
+def purge_table(spark, sf):
+    """Rows of a kind deleted from the stored feed."""
+    n, left = _feed_table(spark, sf, lambda name: feed.purge(spark, name, F.col("source_type") == "RSS"))
+    return left.select("id", "source_type", "text_snippet", F.lit(n).cast("long").alias("n_deleted"))
+
+
+@query
+def reclean_stored(spark, sf):
+    """Tags removed from the snippets of the stored feed, after some were put in."""
+    path = scratch_path(spark, "feed")
+    name = "veristream_feed_" + path.rsplit("-", 1)[1]
+    feed.ensure_table(spark, name, path)
+    try:
+        tagged = F.when(F.col("source_type") == "RSS", F.concat(F.lit("<b>"), "text_snippet", F.lit("</b> &amp; <i>x</i>"))).otherwise(F.col("text_snippet"))
+        feed.insert_ignore(tb.live_feed(spark, sf).withColumn("text_snippet", tagged), name)
+        n = feed.reclean_table(spark, name)
+        rows = spark.read.schema(schemas.LIVE_FEED).parquet(feed._location(spark, name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return rows.select("id", "text_snippet", F.lit(n).cast("long").alias("n_changed"))
+
+
+@query
+def html_references(spark, sf):
+    """Character references by name and number, and a quoted '>' in a tag, before each page."""
+    given = '<p title="a > b">Caf&eacute; &#8217;&#x2026;&amp;lt; &nosuch; &#150;&copy</p>'
+    return tb.table(spark, sf, "pages").select("page_id", tx.html_to_text(F.concat(F.lit(given), "html")).alias("out"))
+
+
+@query
+def length_shifted(spark, sf):
+    """Statistics of lengths beyond 10^9, whose squares would cancel."""
+    d = eda.describe_values(tb.table(spark, sf, "documents").select((F.length("text") + F.lit(10**9)).alias("x")), "x")
+    return d.select("count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", "p25", "p50", "p75", "max")
+
+
+@query
+def first_existing(spark, sf):
+    """The first source that is there, of three, and an empty one for none."""
+    ddl = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType())])
+    found = readers.first_existing(spark, [f"{sf}/missing.parquet", f"{sf}/benchmark.parquet", f"{sf}/documents.parquet"], ddl)
+    none = readers.first_existing(spark, [f"{sf}/missing.parquet", f"{sf}/missing2.parquet"], ddl)
+    return found.unionByName(none).select("item_id", F.md5("text").alias("text_md5"))
+
+
 @query
 def purge(spark, sf):
     return feed.delete_where(tb.live_feed(spark, sf), F.col("source_type") == "RSS").select("id", "source_type")
@@ -1036,16 +1098,24 @@ def stream_feed(spark, sf):
     wrapped = tb.envelopes(spark, sf).withColumn(
         "analysis", F.struct("analysis.score", "analysis.label", "analysis.category")
     )
-    enrich.envelope_json(wrapped).write.text(src)
+    # As a broker's rows, with the place of each message.
+    at = tb.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("timestamp"))
+    log = wrapped.join(at, "event_id").select(
+        "event_id", "timestamp", F.to_json(F.struct(F.try_parse_json("original_data").alias("original_data"), "source_topic", "analysis")).alias("value")
+    )
+    log = log.select(
+        "value", "timestamp", (F.col("event_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset")
+    )
+    log.write.parquet(src)
     name = "veristream_feed_" + out.rsplit("-", 1)[1]
     feed.ensure_table(spark, name, out)
     try:
-        stream = spark.readStream.format("text").load(src)
+        stream = spark.readStream.schema(log.schema).parquet(src)
         _run(jobs.load_feed(stream, name, f"{out}-checkpoint"))
     finally:
         # The table is external: the files stay, only the name goes.
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.read.schema(schemas.LIVE_FEED).parquet(out).select("id", "source", "source_type")
+    return spark.read.schema(schemas.LIVE_FEED).parquet(out).select("id", "source", "source_type", "timestamp", "text_snippet")
 
 
 def _event_stream(spark, sf):
@@ -1083,6 +1153,7 @@ def stream_link_surge(spark, sf):
         "ts", F.concat(F.lit("bit.ly/"), "event_type").alias("link"), (F.col("user_id") % 20).alias("channel")
     )
     _run(jobs.run_to_parquet(jobs.link_surge(rows), out, f"{out}-checkpoint"))
+    # The estimate is exact for so few channels.
     return spark.read.parquet(out).select(
-        F.unix_timestamp("window_start").alias("window_start"), "link", "n_uses"
+        F.unix_timestamp("window_start").alias("window_start"), "link", "n_uses", "n_channels"
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from veristream import schemas
 from veristream.operators import curate, dash, enrich, feed, ingest, quality, registry
+from veristream.sources import files
 
 
 def test_text_choice(spark):
@@ -167,3 +168,47 @@ def test_no_cross_joins(spark):
     for q in (dash.hourly_volume(df), dash.risk_sources(df), dash.snapshot(df), dash.label_counts(df)):
         plan = q._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def feed_rows(spark, *ids, kind="RSS"):
+    return spark.createDataFrame(
+        [(i, "t", "s", kind, f"<b>{i}</b>", "Valid", 1.0, "u", "") for i in ids],
+        "id string, timestamp string, source string, source_type string, text_snippet string, label string, confidence double, topic string, url string",
+    )
+
+
+def test_rows_that_come_while_the_table_changes_are_not_lost(spark, tmp_path, monkeypatch):
+    name = "feed_table_race"
+    feed.ensure_table(spark, name, str(tmp_path / "feed"))
+    stamp = lambda *ids, kind="RSS": feed_rows(spark, *ids, kind=kind).withColumn("inserted_at", F.current_timestamp()).select(*schemas.LIVE_FEED.names)
+    feed.insert_ignore(feed_rows(spark, "a", "b"), name)
+    feed.insert_ignore(feed_rows(spark, "c", kind="Telegram"), name)
+    listed, old = files.leaves, feed._location(spark, name)
+    calls = []
+
+    def leaves(session, path):
+        out = listed(session, path)
+        calls.append(path)
+        if len(calls) == 1:  # after the first listing another writer appends
+            stamp("d", kind="Telegram").union(stamp("e")).write.mode("append").parquet(old)
+        return out
+
+    monkeypatch.setattr(files, "leaves", leaves)
+    assert feed.purge(spark, name, F.col("source_type") == "RSS") == 3
+    ids = lambda: sorted(r["id"] for r in spark.table(name).collect())
+    assert ids() == ["c", "d"]
+    stamp("f").write.mode("append").parquet(old)  # and one that had not heard of the move
+    feed.insert_ignore(feed_rows(spark, "f", "g"), name)
+    spark.catalog.refreshTable(name)
+    assert ids() == ["c", "d", "f", "g"]
+    (tmp_path / "gone").mkdir()
+    assert feed.reclean_table(spark, name) == 4 and ids() == ["c", "d", "f", "g"]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_empty_feed_table_can_be_purged(spark, tmp_path):
+    feed.ensure_table(spark, "feed_table_empty", str(tmp_path / "feed"))
+    assert feed.purge(spark, "feed_table_empty", F.lit(True)) == 0 and spark.table("feed_table_empty").count() == 0
+    feed.insert_ignore(feed_rows(spark, "a"), "feed_table_empty")
+    assert spark.table("feed_table_empty").count() == 1
+    spark.sql("DROP TABLE feed_table_empty")

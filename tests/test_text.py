@@ -144,3 +144,20 @@ def test_container_and_capitalize(one):
     assert one(tx.container_text, page) == "x y"
     assert one(tx.container_text, "<div>z</div>") == ""
     assert one(tx.capitalize, "pENIPUAN besar") == "Penipuan besar"
+
+
+def test_character_references(one):
+    import html
+
+    texts = [
+        "caf&eacute; &#8217;&#x2026; &#X41;", "&amp;lt; &lt;b&gt;", "&nosuch; & &; &# &#; &#x; &", "&#150;&#128;&#159;", "&copy &reg; &nbsp;x",
+        "&#0;&#xD800;&#1114112;", "&#x1F600;", "a&b;c", "&NotEqualTilde; &CounterClockwiseContourIntegral;", "R&D; AT&T",
+    ]
+    for t in texts:
+        assert one(tx.decode_entities, t) == html.unescape(t), t
+
+
+def test_quoted_ends_of_tags(one):
+    assert one(tx.html_to_text, 'a<img alt="x > y">b<i title=\'>\'>c</i>') == "a b c"
+    assert one(tx.html_to_text, 'a<img alt="x>b</img> c <b>d') == "a b c d"
+    assert one(tx.html_to_text, "x<" + "a" * 20000 + ' t="' + "q" * 20000 + '">y') == "x y"

@@ -6,7 +6,10 @@ space is spelled out (``WS``), ``.`` stops at line feeds only (``(?d)``).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from functools import cache
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -20,15 +23,10 @@ HIDDEN = (
     r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
     r"|<template\b[^>]*>.*?</template\s*>|<![^>]*>"
 )
-# '&amp;' comes last so that '&amp;lt;' gives '&lt;'.
-ENTITIES = [
-    ("&nbsp;", " "), ("&#160;", " "), ("&quot;", '"'), ("&#34;", '"'),
-    ("&apos;", "'"), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"),
-    ("&hellip;", "…"), ("&mdash;", "—"), ("&ndash;", "–"),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
-    ("&rdquo;", "”"), ("&copy;", "©"), ("&reg;", "®"),
-    ("&amp;", "&"), ("&#38;", "&"),
-]
+# A tag, whose quoted values may hold '>'; one with an odd quote ends at the first '>'.
+TAG = r"""<(?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>|<[^>]*>"""
+# A text in pieces: character references, what stands between them, ampersands that begin none.
+REFERENCES = r"&#[0-9]{1,9};?|&#[xX][0-9a-fA-F]{1,8};?|&[A-Za-z][A-Za-z0-9]{1,31};?|[^&]+|&"
 
 
 def strip(c: Column) -> Column:
@@ -87,15 +85,40 @@ def clean_serve(c: Column) -> Column:
     return strip(F.regexp_replace(_drop_urls(F.lower(c)), NON_ALNUM, " "))
 
 
+@cache
+def _names() -> str:
+    """Character references by name, as browsers know them, in JSON; some do without the semicolon."""
+    return json.dumps(html5, ensure_ascii=False)
+
+
+def _numbered(piece: Column) -> Column:
+    """The character of a numeric reference; control numbers mean Windows-1252, impossible ones U+FFFD."""
+    digits = F.regexp_extract(piece, "[0-9a-fA-F]+", 0)
+    hexadecimal = F.lower(F.substring(piece, 3, 1)) == "x"
+    code = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    return F.translate(char, _CONTROLS, _WINDOWS)
+
+
+_CONTROLS = "".join(chr(c) for c in range(0x80, 0xA0) if bytes([c]).decode("cp1252", "ignore"))
+_WINDOWS = _CONTROLS.encode("latin-1").decode("cp1252")
+
+
 def decode_entities(c: Column) -> Column:
-    decoded = c
-    for name, char in ENTITIES:
-        decoded = F.replace(decoded, F.lit(name), F.lit(char))
-    return _where_any(c, ["&"], decoded, c)
+    """Character references to characters, in one pass: '&amp;lt;' gives '&lt;'."""
+    names = F.from_json(F.lit(_names()), "map<string,string>")
+    decoded = F.transform(
+        F.regexp_extract_all(c, F.lit(REFERENCES), F.lit(0)),
+        lambda p: F.when(F.startswith(p, F.lit("&#")) & (F.length(p) > 2), _numbered(p))
+        .when(F.startswith(p, F.lit("&")), F.coalesce(F.try_element_at(names, F.substr(p, F.lit(2))), p))
+        .otherwise(p),
+    )
+    return _where_any(c, ["&"], F.array_join(decoded, ""), c)
 
 
 def _visible_pieces(html: Column, separator: str) -> Column:
-    pieces = F.split(F.regexp_replace(html, HIDDEN, "<>"), "<[^>]*>")
+    pieces = F.split(F.regexp_replace(html, HIDDEN, "<>"), TAG)
     trimmed = F.transform(pieces, lambda p: strip(decode_entities(p)))
     return F.array_join(F.filter(trimmed, lambda p: p != ""), separator)
 

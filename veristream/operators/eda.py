@@ -21,32 +21,40 @@ def value_counts(df: DataFrame, column: str, normalize: bool = False) -> DataFra
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, std, min, quartiles and max of text lengths.
+    """Count, mean, std, min, quartiles and max of text lengths."""
+    return describe_values(df.select(F.length(column).alias("len")), "len")
 
-    Lengths are first counted per value, so the quartiles are taken from a
-    short frequency table.
+
+def describe_values(df: DataFrame, column: str) -> DataFrame:
+    """Count, mean, std, min, quartiles and max of whole numbers.
+
+    Rows are first counted per value, so the quartiles are taken from a short
+    frequency table, and so is the variance, in a second pass about the mean:
+    the sum of squares would cancel where values are large and close.
     """
-    lengths = (
-        df.select(F.length(column).alias("len"))
+    counts = (
+        df.select(F.col(column).alias("len"))
         .filter(F.col("len").isNotNull())
         .groupBy("len")
         .agg(F.count("*").alias("n"))
     )
     n, x = F.col("n"), F.col("len").cast("double")
-    sums = lengths.agg(
-        F.sum("n").alias("count"),
-        F.sum(n * x).alias("_s"),
-        F.sum(n * x * x).alias("_q"),
+    # Against the least value, so that the mean itself loses nothing either.
+    facts = counts.agg(F.min("len").alias("least"), F.sum("n").alias("rows"))
+    least = facts.select("least").scalar().cast("double")
+    mean = counts.agg((F.sum(n * (x - least)) / F.sum("n"))).scalar()
+    sums = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+        (F.max(least) + F.max(mean)).alias("mean"),
+        F.sum(n * (x - least - mean) * (x - least - mean)).alias("_q"),
         F.min("len").alias("min"),
         F.percentile("len", [0.25, 0.5, 0.75], F.col("n")).alias("_p"),
         F.max("len").alias("max"),
     )
-    mean = F.col("_s") / F.col("count")
-    spread = (F.col("_q") - F.col("_s") * mean) / F.nullif(F.col("count") - 1, F.lit(0))
     return sums.select(
         "count",
-        mean.alias("mean"),
-        F.sqrt(F.greatest(spread, F.lit(0.0))).alias("std"),
+        "mean",
+        F.sqrt(F.col("_q") / F.nullif(F.col("count") - 1, F.lit(0))).alias("std"),
         F.col("min").cast("double").alias("min"),
         F.col("_p")[0].alias("p25"),
         F.col("_p")[1].alias("p50"),

@@ -125,6 +125,6 @@ def envelope_json(df: DataFrame) -> DataFrame:
     )
 
 
-def parse_envelope(df: DataFrame, value: str = "value") -> DataFrame:
+def parse_envelope(df: DataFrame, value: str = "value", keep=()) -> DataFrame:
     """JSON envelopes back to ``ENVELOPE`` rows (original kept as JSON text)."""
-    return df.select(F.from_json(value, schemas.ENVELOPE).alias("_e")).select("_e.*")
+    return df.select(*keep, F.from_json(value, schemas.ENVELOPE).alias("_e")).select(*keep, "_e.*")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from veristream import fixed_values as fv, schemas
 from veristream.functions import labels, text as tx, times
+from veristream.sources import files
 
 
 def source_type(topic: Column) -> Column:
@@ -117,8 +118,12 @@ def new_rows(batch: DataFrame, table: DataFrame, order: Sequence[Column] = ()) -
 
 
 def insert_ignore(batch: DataFrame, table: str, order: Sequence[Column] = ()) -> None:
-    """Append the batch's new ids to the feed table; known ids are left alone."""
+    """Append the batch's new ids to the feed table; known ids are left alone.
+
+    ``order`` decides between rows of the batch that share an id: the first to arrive.
+    """
     spark = batch.sparkSession
+    sweep(spark, table)
     fresh = new_rows(batch, spark.table(table), order)
     if "inserted_at" not in fresh.columns:
         fresh = fresh.withColumn("inserted_at", F.current_timestamp())
@@ -130,45 +135,91 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
     return df.filter(~F.coalesce(predicate, F.lit(False)))
 
 
-def _swap(spark: SparkSession, table: str, df: DataFrame, observed: Observation) -> int:
+#: Table property: the folder that the table was in before, whose late files are still to be taken over.
+BEFORE = "veristream.before"
+TAKEN = "_taken"  # beside the new files, hidden from readers: the old ones that they were made of
+
+
+def _location(spark: SparkSession, table: str) -> str:
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    old = next(row["data_type"] for row in details if row["col_name"] == "Location")
-    path = f"{re.sub('[.]v-[0-9a-f]+$', '', old.rstrip('/'))}.v-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    return next(row["data_type"] for row in details if row["col_name"] == "Location").rstrip("/")
+
+
+def _take(spark: SparkSession, path: str, names: Sequence[str]) -> None:
+    spark.createDataFrame([(n,) for n in names], "file string").write.mode("append").parquet(f"{path}/{TAKEN}")
+
+
+def sweep(spark: SparkSession, table: str) -> int:
+    """Take over rows that a writer put in the table's former folder while the table moved; number of files.
+
+    Called before each insertion and each change, so that such rows are late but never lost.
+    """
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    before = properties.get(BEFORE)
+    if not before:
+        return 0
+    here = _location(spark, table)
+    taken = {r["file"] for r in spark.read.parquet(f"{here}/{TAKEN}").collect()}
+    late = [f for f in files.leaves(spark, before) if f not in taken]
+    if late:
+        _take(spark, here, late)
+        spark.read.schema(schemas.LIVE_FEED).parquet(*late).write.insertInto(table)
+    return len(late)
+
+
+def _swap(spark: SparkSession, table: str, change: Callable[[DataFrame], tuple[DataFrame, Column]]) -> int:
+    """Write the changed rows beside the old files, then point the table there; number of rows affected.
+
+    ``change`` gives the rows that stay and, of the rows before, a condition for those affected.
+    The files to change are listed once; files that appear meanwhile are changed in a further
+    round, until there are none.  Readers see the old or the new state, never a mixture.
+    """
+    sweep(spark, table)
+    old = _location(spark, table)
+    path = f"{re.sub('[.]v-[0-9a-f]+$', '', old)}.v-{uuid.uuid4().hex}"
+    spark.createDataFrame([], schemas.LIVE_FEED).write.parquet(path)
+    _take(spark, path, [])
+    taken: set[str] = set()
+    affected = 0
+    while fresh := [f for f in files.leaves(spark, old) if f not in taken]:
+        observed = Observation()
+        rows = spark.read.schema(schemas.LIVE_FEED).parquet(*fresh)
+        _, hit = change(rows)
+        stay, _ = change(rows.observe(observed, F.count_if(hit).alias("affected")))
+        stay.select(*schemas.LIVE_FEED.names).write.mode("append").parquet(path)
+        affected += int(observed.get["affected"] or 0)
+        _take(spark, path, fresh)
+        taken.update(fresh)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BEFORE}' = '{old}')")
     spark.catalog.refreshTable(table)
-    return int(observed.get["affected"] or 0)
+    sweep(spark, table)  # what came between the last look and the change of place
+    return affected
 
 
 def purge(spark: SparkSession, table: str, predicate: Column) -> int:
-    """Delete rows of the feed table; gives the number of rows deleted.
-
-    The rest is written beside the old files, then the table is pointed there;
-    readers see the old or the new state, never a mixture.
-    """
-    observed = Observation()
+    """Delete rows of the feed table; gives the number of rows deleted."""
     hit = F.coalesce(predicate, F.lit(False))
-    watched = spark.table(table).observe(observed, F.count_if(hit).alias("affected"))
-    return _swap(spark, table, watched.filter(~hit), observed)
+    return _swap(spark, table, lambda rows: (rows.filter(~hit), hit))
+
+
+def recleaned(c: Column) -> Column:
+    has_tags = F.contains(c, F.lit("<")) & F.contains(c, F.lit(">"))
+    return F.when(has_tags, tx.html_to_text(c)).otherwise(c)
 
 
 def reclean(df: DataFrame, column: str = "text_snippet") -> DataFrame:
     """Clean stored texts that hold tags; ``changed`` tells which rows differ."""
     c = F.col(column)
-    has_tags = F.contains(c, F.lit("<")) & F.contains(c, F.lit(">"))
-    cleaned = F.when(has_tags, tx.html_to_text(c)).otherwise(c)
-    return df.withColumn("_clean", cleaned).withColumns(
+    return df.withColumn("_clean", recleaned(c)).withColumns(
         {"changed": F.coalesce(F.col("_clean") != c, F.lit(False)), column: F.col("_clean")}
     ).drop("_clean")
 
 
 def reclean_table(spark: SparkSession, table: str) -> int:
     """Clean the stored snippets of the feed table; number of rows changed."""
-    observed = Observation()
-    done = reclean(spark.table(table)).observe(
-        observed, F.count_if(F.col("changed")).alias("affected")
-    )
-    return _swap(spark, table, done.drop("changed"), observed)
+    c = F.col("text_snippet")
+    return _swap(spark, table, lambda rows: (reclean(rows).drop("changed"), F.coalesce(recleaned(c) != c, F.lit(False))))
 
 
 # --- queries ----------------------------------------------------------------

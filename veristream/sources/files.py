@@ -26,14 +26,16 @@ def expand(spark: SparkSession, glob: str) -> list[str]:
 
 
 def leaves(spark: SparkSession, glob: str) -> list[str]:
-    """Data files at or below the paths matching a glob, sorted; hidden ones are left out."""
+    """Data files at or below the paths matching a glob, sorted; hidden ones, and those of writers
+    that have not finished, are left out."""
     out = []
     for path in expand(spark, glob):
         found = _fs(spark, path).listFiles(_path(spark, path), True)
         while found.hasNext():
-            file = found.next().getPath()
-            if not file.getName().startswith(("_", ".")):
-                out.append(file.toString())
+            file = found.next().getPath().toString()
+            below = file.removeprefix(path).strip("/").split("/") if file != path else [file.rsplit("/", 1)[1]]
+            if not any(part.startswith(("_", ".")) for part in below):
+                out.append(file)
     return sorted(out)
 
 

@@ -76,14 +76,19 @@ def run_dead_letters(messages: DataFrame, topic: str, checkpoint: str, **carrier
 def load_feed(envelopes: DataFrame, table: str, checkpoint: str, trigger=NOW):
     """Keep loading analysed messages into the feed table, first write wins.
 
-    A batch that is replayed after a failure inserts only what is missing.
+    A batch that is replayed after a failure inserts only what is missing.  Of equal ids in
+    a batch the first to arrive wins: by the carrier's time, partition and offset where the
+    messages have them, else by their order in the files.
     """
 
     def insert(batch: DataFrame, _id: int) -> None:
+        known = [c for c in ("timestamp", "topic", "partition", "offset") if c in batch.columns]
+        arrival = [f"_arrived_{c}" for c in known] + ["_arrived_row"]
+        marked = batch.withColumnsRenamed(dict(zip(known, arrival))).withColumn("_arrived_row", F.monotonically_increasing_id())
         # Used twice by the insert: its rows, and its ids against the table.
-        rows = feed.flatten(en.parse_envelope(batch)).persist()
+        rows = feed.flatten(en.parse_envelope(marked, keep=arrival), keep=arrival).persist()
         try:
-            feed.insert_ignore(rows, table)
+            feed.insert_ignore(rows, table, [F.col(c) for c in arrival])
         finally:
             rows.unpersist()
 
