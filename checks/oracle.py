@@ -70,10 +70,10 @@ def decode(x: str) -> str:
         ("&nbsp;", "\xa0"), ("&#160;", "\xa0"), ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"),
         ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&hellip;", "…"), ("&mdash;", "—"),
         ("&ndash;", "–"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
-        ("&rdquo;", "”"), ("&copy;", "\xa9"), ("&reg;", "\xae"), ("&amp;", "&"), ("&#38;", "&"),
+        ("&rdquo;", "”"), ("&copy;", "\xa9"), ("&reg;", "\xae"), ("&middot;", "\xb7"), ("&amp;", "&"), ("&#38;", "&"),
     ]:
         x = f"replace({x}, {q(name)}, {q(char)})"
-    return x
+    return f"regexp_replace({x}, '&amp([^a-zA-Z0-9]|$)', '&\\1', 'g')"  # this one does without its semicolon
 
 
 def pieces(x: str, separator: str) -> str:
@@ -723,6 +723,11 @@ def build() -> dict[str, str]:
     o["rss_scan"] = """
       SELECT url AS link, 'page ' || page_id AS title, CASE WHEN page_id % 2 = 0 THEN 'ringkas' ELSE '<b>isi</b>' END AS description,
         '' AS published FROM pages"""
+    o["atom_scan"] = """
+      SELECT url AS link, 'page ' || page_id AS title, CASE WHEN page_id % 2 = 0 THEN 'ringkas' ELSE 'isi' END AS description,
+        CASE WHEN page_id % 3 = 0 THEN '2024-01-02T03:04:05Z' ELSE '2024-05-06T07:08:09Z' END AS published FROM pages
+      UNION ALL SELECT url, 'page ' || page_id, 'kedua', '' FROM pages"""
+    o["history_then_live"] = f"""WITH {MESSAGES} SELECT topic, value, event_id % 2 = 0 AS history FROM messages"""
     o["lake_roundtrip"] = f"""WITH {LABELED}
       SELECT final_label, count(*) AS n, sum(length(text))::BIGINT AS n_chars FROM labeled GROUP BY final_label"""
     o["prediction_log"] = f"""WITH {VERDICT}

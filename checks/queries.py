@@ -708,7 +708,7 @@ def confusion(spark, sf):
 def lr_train_score(spark, sf):
     """Model on the training part; how it does on the test part."""
     rows = sampling.split(tb.labeled(spark, sf), key="doc_id")
-    model = train.fit(train.prepare(rows.filter("part = 'train'")), max_iter=200, partitions=2)
+    model = train.fit(train.prepare(rows.filter("part = 'train'")), max_iter=200, partitions=cores(spark))
     scored = train.predict(train.prepare(rows.filter("part = 'test'")), model)
     return evaluate.summary(scored)
 
@@ -716,7 +716,7 @@ def lr_train_score(spark, sf):
 @query
 def model_scores(spark, sf):
     """Class scores of all documents by a model trained on the labelled ones."""
-    model = train.fit(train.prepare(tb.labeled(spark, sf)), max_iter=200, partitions=2)
+    model = train.fit(train.prepare(tb.labeled(spark, sf)), max_iter=200, partitions=cores(spark))
     scored = train.score(tb.table(spark, sf, "documents"), model)
     return scored.select("doc_id", *_scores("base", "base"))
 
@@ -1019,6 +1019,43 @@ def rss_scan(spark, sf):
     return readers.read_rss(spark, path)
 
 
+@query
+def atom_scan(spark, sf):
+    """Pages as entries of Atom files, some with several links, with a summary or content."""
+    path, second = scratch_path(spark, "atom"), scratch_path(spark, "atom")
+    p = tb.table(spark, sf, "pages")
+    link = lambda rel, href: F.struct(href.alias("_href"), F.lit(rel).cast("string").alias("_rel"))
+    title = F.concat(F.lit("page "), F.col("page_id").cast("string")).alias("title")
+    p.select(
+        title, F.array(link("self", F.lit("http://self")), link("alternate", F.col("url"))).alias("link"),
+        F.when(F.col("page_id") % 2 == 0, F.lit("ringkas")).alias("summary"), F.lit("isi").alias("content"),
+        F.when(F.col("page_id") % 3 == 0, F.lit("2024-01-02T03:04:05Z")).alias("published"), F.lit("2024-05-06T07:08:09Z").alias("updated"),
+    ).write.format("xml").option("rootTag", "feed").option("rowTag", "entry").save(path)
+    p.select(title, F.array(link(None, F.col("url"))).alias("link"), F.lit("kedua").alias("content")).write.format("xml").option(
+        "rootTag", "feed"
+    ).option("rowTag", "entry").save(second)
+    return readers.read_rss(spark, [path, second])
+
+
+@query
+def history_then_live(spark, sf):
+    """Messages there before the hand-over as a table, later ones as a stream, each once."""
+    folder, out = scratch_path(spark, "topics"), scratch_path(spark, "live")
+
+    def send(part):
+        for name in fv.INPUT_TOPICS:
+            chosen = (F.col("topic") == name) & (F.col("event_id") % 2 == part)
+            tb.messages(spark, sf).filter(chosen).select("value").write.mode("append").text(f"{folder}/{name}")
+
+    send(0)
+    topics.history_then_live(spark, f"{out}/handover", folder=folder)
+    send(1)
+    history, live = topics.history_then_live(spark, f"{out}/handover", folder=folder)  # as after a restart
+    _run(jobs.run_to_parquet(live.select("topic", "value"), f"{out}/rows", f"{out}/checkpoint"))
+    after = spark.read.parquet(f"{out}/rows")
+    return history.select("topic", "value", F.lit(True).alias("history")).unionByName(after.withColumn("history", F.lit(False)))
+
+
 @query
 def lake_roundtrip(spark, sf):
     lake = Lake(scratch_path(spark, "lake"))

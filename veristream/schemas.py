@@ -25,6 +25,9 @@ ENTITIES = _record(nomor_hp=TEXTS, rekening=TEXTS, links=TEXTS)
 
 RSS_RAW = _record("source category title link description published_at ingested_at")
 RSS_ITEM = _record("title link summary description pubDate")
+ATOM_ENTRY = _record(
+    "title link summary content published updated", link=T.ArrayType(_record("_href _rel")),
+)
 CHAT_RAW = _record("channel_name sender_id message sent_at ingested_at")
 POST_RAW = _record(
     "tweet_id source category username text label_ground_truth scam_type entities "

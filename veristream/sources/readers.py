@@ -63,17 +63,22 @@ def read_jsonl(
 
 
 def read_rss(spark: SparkSession, path) -> DataFrame:
-    """Items of RSS files: link, title, description, published.
+    """Items of RSS files and entries of Atom files: link, title, description, published.
 
-    ``summary`` wins over ``description`` where an item has it.
+    ``summary`` wins over ``description``, and over an entry's ``content``, where there is one.
+    An entry's link is its alternate one, or the first that doesn't say what it is.
     """
-    items = spark.read.format("xml").option("rowTag", "item").schema(schemas.RSS_ITEM).load(path)
-    return items.select(
-        "link",
-        F.coalesce("title", F.lit("")).alias("title"),
-        F.coalesce("summary", "description", F.lit("")).alias("description"),
-        F.coalesce("pubDate", F.lit("")).alias("published"),
+    text = lambda *c: F.coalesce(*c, F.lit(""))
+    read = lambda tag, schema: spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+    items = read("item", schemas.RSS_ITEM).select(
+        "link", text("title").alias("title"), text("summary", "description").alias("description"), text("pubDate").alias("published")
     )
+    shown = F.filter("link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    entries = read("entry", schemas.ATOM_ENTRY).select(
+        F.get(shown, F.lit(0))["_href"].alias("link"), text("title").alias("title"),
+        text("summary", "content").alias("description"), text("published", "updated").alias("published"),
+    )
+    return items.unionByName(entries)
 
 
 def _as_text(df: DataFrame, prefix: str) -> DataFrame:

@@ -6,11 +6,13 @@ per topic with text files of one JSON value per line.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veristream import fixed_values as fv
+from veristream.sources import files
 
 
 def _from_kafka(reader, topics, starting, bootstrap):
@@ -67,6 +69,45 @@ def read_topics_bounded(
     return _from_folder(lines, topics)
 
 
+def history_then_live(
+    spark: SparkSession, handover: str, topics: Sequence[str] = tuple(fv.INPUT_TOPICS), bootstrap: str | None = None,
+    folder: str | None = None, files_per_trigger: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(all messages there are now, a stream of those that come after), without a gap or a repetition.
+
+    Where the history ends is written to ``handover`` by the first call (a folder's files, a
+    broker's offsets) and read by later ones, so a restarted job gets the same two parts.
+    """
+    if bootstrap:
+        if not files.exists(spark, f"{handover}/*.parquet"):
+            now = _from_kafka(spark.read, topics, "earliest", bootstrap)
+            ends = now.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next"))
+            ends.write.mode("overwrite").parquet(handover)
+        offsets: dict[str, dict[str, int]] = {}
+        for row in spark.read.parquet(handover).collect():
+            offsets.setdefault(row["topic"], {})[str(row["partition"])] = row["next"]
+        ends = spark.read.parquet(handover)
+        before = _from_kafka(spark.read, topics, "earliest", bootstrap).join(F.broadcast(ends), ["topic", "partition"])
+        return before.filter(F.col("offset") < F.col("next")).drop("next"), _from_kafka(
+            spark.readStream, topics, json.dumps(offsets) if offsets else "earliest", bootstrap
+        )
+    if not files.exists(spark, f"{handover}/*.parquet"):
+        found = files.leaves(spark, folder)
+        spark.createDataFrame([(f,) for f in found], "path string").coalesce(1).write.mode("overwrite").parquet(handover)
+    listed = [row["path"] for row in spark.read.parquet(handover).collect()]
+    lines = spark.read.format("text").load(listed) if listed else spark.createDataFrame([], "value string").select(
+        "value", F.struct(F.lit("").alias("file_path"), F.current_timestamp().alias("file_modification_time")).alias("_metadata")
+    )
+    reader = spark.readStream.format("text").option("recursiveFileLookup", True)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    place = lambda c: F.regexp_replace(c, "^file:/+", "/")  # listings and rows may differ in the slashes
+    old = spark.createDataFrame([(f,) for f in listed], "path string").select(place(F.col("path")).alias("_old"))
+    live = reader.load(folder).select("value", "_metadata", place(F.col("_metadata.file_path")).alias("_path"))
+    fresh = live.join(F.broadcast(old), F.col("_path") == F.url_decode(F.col("_old")), "left_anti").drop("_path")
+    return _from_folder(lines, topics), _from_folder(fresh, topics)
+
+
 def topic_summary(df: DataFrame, order: Sequence[str] = ("partition", "offset")) -> DataFrame:
     """Number of messages and the last message."""
     return df.agg(
