@@ -611,6 +611,15 @@ def build() -> dict[str, str]:
       SELECT md5(text) AS text_md5, label_num FROM corrections
       QUALIFY row_number() OVER (PARTITION BY text ORDER BY CASE WHEN row_id % 4 = 1 THEN 0 ELSE 1 END, row_id) = 1"""
 
+    o["feedback_retrain"] = f"""WITH {LABELED}, {CORRECTIONS}
+      SELECT md5(text) AS text_md5, min(label_num) AS label_num, row_id % 2 + 1 AS run, (SELECT count(*) FROM labeled) AS n_archived FROM corrections
+      GROUP BY text, row_id % 2 QUALIFY row_number() OVER (PARTITION BY text ORDER BY row_id % 2) = 1"""
+    o["feedback_trigger"] = f"""WITH {LABELED}, {CORRECTIONS}, n AS (SELECT row_id % 3 AS k, count(*) AS n FROM corrections GROUP BY 1),
+      a AS (SELECT coalesce(max(n) FILTER (k = 0), 0) AS a, coalesce(max(n) FILTER (k = 1), 0) AS b, coalesce(max(n) FILTER (k = 2), 0) AS c FROM n),
+      t AS (SELECT *, a >= 100 AS t1, b + CASE WHEN a >= 100 THEN 0 ELSE a END >= 100 AS t2 FROM a)
+      SELECT md5(text) AS text_md5, label_num, (SELECT t1::BIGINT + t2::BIGINT
+        + (c + CASE WHEN t2 THEN 0 WHEN t1 THEN b ELSE a + b END >= 100)::BIGINT FROM t) AS n_trainings FROM corrections"""
+
     # registry
     fields = ["identifier_type", "identifier_value", "owner_name", "source", "report_count", "status", "notes"]
     sets = {"status": "k = 0", "report_count": "k = 0", "notes": "k > 0", "owner_name": "k = 2"}

@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F, types as T
 
 from veristream import schemas
@@ -75,6 +76,38 @@ def test_retrain_leaves_late_files(spark, tmp_path, monkeypatch):
     assert sorted(r["text"] for r in spark.read.parquet(where["pool_path"]).collect()) == ["kabar dua", "kabar satu"]
 
 
+@pytest.mark.parametrize("step", ["claim", "train_on", "add_to_pool", "archive", "finish", "clear"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_broken_retraining_is_finished(spark, tmp_path, monkeypatch, step, after):
+    """Killed before or after any step: the next call ends the run, and nothing is lost or there twice."""
+    log = tmp_path / "feedback"
+    log.mkdir()
+    line = lambda text: json.dumps({"text": text, "correct_label": "Hoaks"}) + "\n"
+    (log / "a.jsonl").write_text(line("kabar satu") + line("kabar dua"))
+    where = {k: str(tmp_path / k) for k in ("model_path", "pool_path", "archive_path")}
+    fit = lambda rows: PipelineModel(stages=[])  # what is trained doesn't matter here
+    whole = getattr(feedback, step)
+
+    def dies(*args):
+        if after:
+            whole(*args)
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(feedback, step, dies)
+    with pytest.raises(RuntimeError):
+        feedback.retrain(spark, str(log), labelled(spark), **where, fit=fit)
+    monkeypatch.setattr(feedback, step, whole)
+    (log / "b.jsonl").write_text(line("kabar dua") + line("kabar tiga"))
+    for _ in range(2):
+        feedback.retrain(spark, str(log), labelled(spark), **where, fit=fit)
+    assert not list(log.glob("*.jsonl"))
+    assert sorted(r["text"] for r in spark.read.parquet(where["pool_path"]).collect()) == ["kabar dua", "kabar satu", "kabar tiga"]
+    lines = [r["value"] for r in spark.read.text(where["archive_path"]).collect()]
+    assert sorted(lines) == sorted(line(t).strip() for t in ("kabar satu", "kabar dua", "kabar dua", "kabar tiga"))
+    assert train.load(spark, where["model_path"]) is not None
+    assert feedback.retrain(spark, str(log), labelled(spark), **where, fit=fit) is None
+
+
 def test_feedback_trigger(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veristream import schemas
@@ -47,17 +51,79 @@ def merge_pool(existing: DataFrame, new: DataFrame, order: str = "row_id") -> Da
     return _first_per_text([existing, new], order)
 
 
-def archive(spark: SparkSession, paths: list[str], archive_path: str) -> None:
-    """Move the lines of these files to the archive; other files are left alone.
+@dataclass(frozen=True)
+class Run:
+    """One numbered retraining in the commit log: which files it claimed, and whether all of it is done.
 
-    Lines are appended first and the files deleted after, so a failure in
-    between leaves lines twice (harmless: pools keep one per text), never none.
+    Everything that it writes bears its number and replaces what a try before it wrote, so a job
+    that died anywhere is finished by the next call, neither losing nor repeating anything.
     """
-    spark.read.text(paths).write.mode("append").text(archive_path)
-    for file in paths:
+
+    log: str
+    number: int
+    paths: tuple[str, ...]
+
+    @property
+    def folder(self) -> str:
+        return f"{self.log}/run={self.number}"
+
+    def done(self, spark: SparkSession) -> bool:
+        return files.exists(spark, f"{self.folder}/done/*.parquet")
+
+
+def _last(spark: SparkSession, log: str) -> Run | None:
+    claims = files.expand(spark, f"{log}/run=*/claimed/*.parquet")
+    if not claims:
+        return None
+    number = max(int(c.split("/run=")[-1].split("/")[0]) for c in claims)
+    rows = spark.read.parquet(f"{log}/run={number}/claimed").collect()
+    return Run(log, number, tuple(sorted(r["path"] for r in rows)))
+
+
+def claim(spark: SparkSession, log: str, number: int, paths: list[str]) -> Run:
+    """Write down which files a run is about, before anything is done with them."""
+    run = Run(log, number, tuple(paths))
+    spark.createDataFrame([(f,) for f in paths], "path string").coalesce(1).write.mode("overwrite").parquet(f"{run.folder}/claimed")
+    return run
+
+
+def train_on(spark: SparkSession, run: Run, original: DataFrame, model_path: str, fit: Callable[[DataFrame], PipelineModel]):
+    rows = training_set(original, _corrections(spark, run.paths)).withColumnRenamed("text", "text_clean")
+    model = fit(rows)
+    train.save(model, model_path)
+    return model
+
+
+def add_to_pool(spark: SparkSession, run: Run, pool_path: str) -> None:
+    """The run's texts that no earlier run has put in the pool."""
+    fresh = _corrections(spark, run.paths)
+    fresh = merge_pool(fresh.limit(0), fresh)
+    if files.exists(spark, f"{pool_path}/*/*.parquet"):
+        known = spark.read.parquet(pool_path).filter(F.col("run") < run.number)
+        fresh = fresh.join(known.select("text"), "text", "left_anti")
+    fresh.write.mode("overwrite").parquet(f"{pool_path}/run={run.number}")
+
+
+def archive(spark: SparkSession, run: Run, archive_path: str) -> None:
+    """The lines of the run's files, under its number."""
+    spark.read.text(list(run.paths)).write.mode("overwrite").text(f"{archive_path}/run={run.number}")
+
+
+def finish(spark: SparkSession, run: Run) -> None:
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{run.folder}/done")
+
+
+def clear(spark: SparkSession, run: Run) -> None:
+    """Delete the claimed files of a run that is done."""
+    for file in run.paths:
         files.delete(spark, file)
 
 
+def _corrections(spark: SparkSession, paths) -> DataFrame:
+    good, _ = readers.read_jsonl(spark, list(paths), schemas.FEEDBACK_LOG)
+    return codes(good)
+
+
 def retrain(
     spark: SparkSession,
     feedback_path: str,
@@ -66,27 +132,28 @@ def retrain(
     pool_path: str,
     archive_path: str,
     at_least: int = 1,
+    log_path: str | None = None,
+    fit: Callable[[DataFrame], PipelineModel] | None = None,
 ):
     """The retraining job; gives the model, or None if there was too little.
 
-    Pool and archive change only after the model is saved.  The files are listed
-    once: what arrives during the training waits for the next one.
+    A run claims the files that are there, trains, adds to pool and archive, is marked as done, and
+    deletes its files, in this order.  A run that was broken off is finished first, on the files it
+    had claimed.  What arrives meanwhile waits for the next run.  Pool and archive are
+    partitioned by ``run``; the log is beside the pool unless ``log_path`` says otherwise.
     """
-    paths = files.leaves(spark, feedback_path)
-    if not paths:
-        return None
-    good, _ = readers.read_jsonl(spark, paths, schemas.FEEDBACK_LOG)
-    new = codes(good)
-    if len(new.take(at_least)) < at_least:
-        return None
-    rows = training_set(original, new).withColumnRenamed("text", "text_clean")
-    model = train.fit(rows)
-    train.save(model, model_path)
-    if files.exists(spark, pool_path):
-        known = spark.read.schema(schemas.TRAINING_POOL).parquet(pool_path)
-        fresh = merge_pool(new.limit(0), new).join(known.select("text"), "text", "left_anti")
-    else:
-        fresh = merge_pool(new.limit(0), new)
-    fresh.write.mode("append").parquet(pool_path)
-    archive(spark, paths, archive_path)
+    log = log_path or f"{pool_path.rstrip('/')}_runs"
+    run = _last(spark, log)
+    if run is not None and run.done(spark):
+        clear(spark, run)  # it may have died before
+    if run is None or run.done(spark):
+        paths = files.leaves(spark, feedback_path)
+        if not paths or len(_corrections(spark, paths).take(at_least)) < at_least:
+            return None
+        run = claim(spark, log, run.number + 1 if run else 1, paths)
+    model = train_on(spark, run, original, model_path, fit or train.fit)
+    add_to_pool(spark, run, pool_path)
+    archive(spark, run, archive_path)
+    finish(spark, run)
+    clear(spark, run)
     return model

@@ -150,7 +150,7 @@ def feedback_trigger(feedback: DataFrame, n: int, retrain: Callable[[], object],
         stored = spark.read.schema(schemas.STORED_FEEDBACK).parquet(f"{pool}/rows")
         trained = readers.first_existing(spark, [f"{pool}/trained"], schemas.TRAINED_BATCH)
         since = trained.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
-        if stored.filter(F.col("batch") > since).count() >= n:
+        if stored.filter((F.col("batch") > since) & (F.col("batch") <= batch_id)).count() >= n:
             retrain()
             spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch")).write.mode(
                 "append"
