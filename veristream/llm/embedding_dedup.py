@@ -10,8 +10,9 @@ coarse: a vector is sent once per thousands of others, not once per cell of a fe
 Components are formed over the links; one vector of each stays.
 
 Vectors that are null, all zero, or hold a null or a number that isn't finite have no links.
-Vectors of different length aren't compared.  Rows sharing a vec_id count as linked if any of
-their vectors are; a null id has a null component.  Repeated rows are rows of their own.
+Vectors of different length aren't compared.  Repeated rows are rows of their own, and so are rows
+that share a vec_id with unlike vectors: each has its own vector's links and component.  A null id
+has a null component.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -146,7 +147,8 @@ def groups(
     key = F.md5("unit")
     heads = materialize(
         unit.where(F.col("unit").isNotNull() & F.col("vec_id").isNotNull()).groupBy(key.alias("key"))
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("unit").alias("unit")), "heads",
+        .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("unit").alias("unit"))
+        .withColumn("rep", F.monotonically_increasing_id()), "heads",  # a number: two vectors may share an id
     )
     sizes = {r["d"]: r["n"] for r in heads.groupBy((F.length("unit") / 8).cast("int").alias("d")).agg(F.count("*").alias("n")).collect()}
     chosen = heads.orderBy("key").limit(sample).select("unit").collect() if sizes else []
@@ -180,9 +182,11 @@ def groups(
     )
     gain = links.groupBy("rep").agg(F.sum("gain").alias("gain"))
     label = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    node = heads.select("key", "rep", "copies").join(gain, "rep", "left").join(label, F.col("rep") == F.col("id"), "left").select(
-        "key", (F.col("copies") - 1 + F.coalesce("gain", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("c")
+    node = heads.select("key", "rep", "least", "copies").join(gain, "rep", "left").join(label, F.col("rep") == F.col("id"), "left").select(
+        "key", "least", (F.col("copies") - 1 + F.coalesce("gain", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("of")
     )
+    smallest = node.groupBy("of").agg(F.min("least").alias("c"))
+    node = node.join(smallest, "of").select("key", "n", "c")
     out = unit.select("vec_id", F.when(F.col("unit").isNotNull() & F.col("vec_id").isNotNull(), key).alias("key")).join(node, "key", "left")
     return out.select(
         "vec_id", F.coalesce("n", F.lit(0)).alias("n_links"), F.coalesce("c", "vec_id").alias("component_id")

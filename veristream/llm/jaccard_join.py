@@ -268,7 +268,17 @@ def groups(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """One document of each group: the one with the smallest doc_id, of several rows with it that with the
-    smallest text.  Rows without doc_id all stay."""
+    smallest text.  Rows without doc_id all stay.
+
+    Where rows share a doc_id and have unlike texts, each row is a document of its own: one goes only
+    if its own text has a near copy that stays.
+    """
+    text = F.coalesce("text", F.lit(""))
+    own = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min(F.xxhash64(text)).alias("least"), F.max(F.xxhash64(text)).alias("most")
+    ).where("least <> most")
+    if not own.isEmpty():
+        return _keep_rows(docs, text)
     stay = groups(docs.select("doc_id", "text")).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     rest = [c for c in docs.columns if c != "doc_id"]
     one = docs.join(stay, "doc_id", "left_semi").groupBy("doc_id").agg(
@@ -278,6 +288,23 @@ def keep(docs: DataFrame) -> DataFrame:
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
+def _keep_rows(docs: DataFrame, text: Column) -> DataFrame:
+    """``keep`` by numbers that the rows get in order of (doc_id, text)."""
+    known = docs.where(F.col("doc_id").isNotNull()).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), text.alias("text")
+    )
+    dealt = known.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
+    numbered = materialize(dealt.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    found = groups(numbered.select(F.col("number").alias("doc_id"), "text"))
+    stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("number"), F.col("n_shingles").alias("n"))
+    rows = numbered.join(stay, "number")
+    # Texts without words are in no group; of those that share a doc_id one is enough.
+    bare = rows.where("n = 0").groupBy("id").agg(F.min("number").alias("number")).select("number")
+    one = rows.where("n > 0").unionByName(rows.join(bare, "number", "left_semi"))
+    one = one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def _common_sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """Common shingles of the documents that are too full of them to show enough others."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
