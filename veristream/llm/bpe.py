@@ -3,10 +3,12 @@
 Greedy longest match proposes tokens for each word.  A row of tokens is what the
 merge rules give exactly when every two neighbours are *compatible*, that is when
 no rule would have joined across their border; all borders of a batch are tested at
-once on arrays.  Only words with a failing border go through the merge rules.
+once on arrays.  Only words with a failing border go through the merge rules.  A proposal takes a
+round for each byte of the longest word, so words of over a thousand bytes go to the rules at once.
 
 Nulls count as empty texts; empty texts have no tokens.  Repeated rows, repeated ids
-and null ids are kept, a row each.  Other columns are not looked at.
+and null ids are kept, a row each.  Texts and words of any length are encoded whole.  Other columns
+are not looked at.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ UNUSUAL = regex.compile(r"[^\x00-\u024f]").search
 REMEMBERED = 500_000
 #: Bytes of a word beyond which it is merged by itself.
 LONG = 64
+#: Bytes of a word above which nothing is proposed for it.
+VERY_LONG = 1024
 NO_RANK = np.int64(1) << 40
 NO_RULE = np.int64(1) << 62
 
@@ -276,6 +280,9 @@ class Bpe:
         if not raw:
             return []
         lengths = np.array([len(r) for r in raw], np.int64)
+        if lengths.max() > VERY_LONG:
+            rest = iter(self.encode_words([r for r in raw if len(r) <= VERY_LONG]))
+            return [np.asarray(self.merge_long(r), "<u4").tobytes() if len(r) > VERY_LONG else next(rest) for r in raw]
         flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
         stop = np.cumsum(lengths)
         word, token = self.propose(flat, stop - lengths, stop)

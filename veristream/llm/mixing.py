@@ -8,7 +8,7 @@ it, over the whole cluster, and cut where the budget is used up.
 
 Null texts have size 0, a null source is one source, last.  A document of size 0 takes nothing;
 an empty table gives an empty mix.  Repeated rows and ids are rows of their own; which of two
-equal ones is taken makes no difference.
+equal ones is taken makes no difference.  Texts of any length count whole.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ Nulls count as empty texts; they get the score of a text without hits.  Repeated
 are kept, a row each.  Label rows without id, without label or without document are not used;
 a document labelled twice differently counts as toxic.  Without usable labels the lexicon is
 empty and all documents get the same score, below 0.5.  Source, language and labels are never
-inputs of a score.
+inputs of a score, and no other column is read.  Texts of any length are scored whole.
 """
 
 from __future__ import annotations
