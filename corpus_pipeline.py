@@ -3,6 +3,11 @@
 Every stage works on all that its predecessor kept.  Toxic documents go; boilerplate lines go
 but for their first place; of near copies one stays; sources are mixed to their weights,
 documents repeated as the mix asks; what is left is encoded and decoded.
+
+Nulls, empty texts, ties, repeated rows and very long texts are what each stage's module says; a
+null or empty text is not toxic, has no lines, is near no other and takes nothing of the mix.
+Rows that share a doc_id with unlike texts are documents of their own.  Columns besides those of
+``documents`` are carried along; an empty table gives no rows.
 """
 
 from __future__ import annotations
