@@ -215,9 +215,6 @@ def _emoji(label: Column) -> Column:
 def render(df: DataFrame, out: str = "rendered") -> DataFrame:
     """Adds the text message for a verdict (no markup)."""
     label = F.coalesce(F.col("label"), F.lit(fv.UNKNOWN_LABEL))
-    lists = [
-        ("Nomor HP", "nomor_hp"), ("Nomor Rekening", "rekening"), ("Link", "links"),
-    ]
     entity_lines = [
         F.when(
             F.size(F.coalesce(F.col(f"scam_entities.{name}"), F.array().cast("array<string>"))) > 0,
@@ -225,50 +222,48 @@ def render(df: DataFrame, out: str = "rendered") -> DataFrame:
                 F.lit(f"  {title}: "), F.array_join(F.col(f"scam_entities.{name}"), ", ")
             ),
         )
-        for title, name in lists
+        for title, name in fv.RENDER_ENTITIES
     ]
     any_entity = F.coalesce(*entity_lines).isNotNull()
     score_text = F.coalesce(F.col("score").cast("string"), F.lit("0"))
     message = F.concat_ws(
         "\n",
-        F.concat(_emoji(label), F.lit(" HASIL DETEKSI: "), F.upper(label)),
-        F.concat(F.lit("Skor keyakinan: "), score_text, F.lit("%")),
+        F.concat(_emoji(label), F.lit(fv.RENDER_TITLE), F.upper(label)),
+        F.concat(F.lit(fv.RENDER_SCORE), score_text, F.lit("%")),
         F.lit(""),
-        F.lit("Rincian skor tiap kelas:"),
+        F.lit(fv.RENDER_CLASSES),
         *[
             F.concat(
                 F.lit(f"  - {name}: "), F.col(f"all_scores.{name}").cast("string"), F.lit("%")
             )
             for name in fv.LABELS
         ],
-        F.when(any_entity, F.lit("\nEntitas mencurigakan terdeteksi:")),
+        F.when(any_entity, F.lit(fv.RENDER_FOUND)),
         *entity_lines,
         F.lit(""),
-        F.concat(
-            F.lit("Alasan / Rekomendasi:\n"), F.coalesce(F.col("recommendation"), F.lit(""))
-        ),
+        F.concat(F.lit(fv.RENDER_REASON), F.coalesce(F.col("recommendation"), F.lit(""))),
     )
     return df.withColumn(out, message)
 
 
 def render_screenshot(df: DataFrame, out: str = "rendered") -> DataFrame:
-    """Adds the text message for a screenshot verdict (300-character preview)."""
+    """Adds the text message for a screenshot verdict, with the beginning of the text that was read."""
     label = F.coalesce(F.col("label"), F.lit(fv.UNKNOWN_LABEL))
     read = tx.strip(F.coalesce(F.col("extracted_text"), F.lit("")))
-    preview = tx.ellipsis(read, 300, 300)
+    preview = tx.ellipsis(read, fv.RENDER_PREVIEW_CHARS, fv.RENDER_PREVIEW_CHARS)
     message = F.concat_ws(
         "\n",
-        F.concat(_emoji(label), F.lit(" HASIL DETEKSI SCREENSHOT: "), F.upper(label)),
-        F.concat(F.lit("Skor keyakinan: "), F.col("score").cast("string"), F.lit("%")),
+        F.concat(_emoji(label), F.lit(fv.RENDER_SCREENSHOT_TITLE), F.upper(label)),
+        F.concat(F.lit(fv.RENDER_SCORE), F.col("score").cast("string"), F.lit("%")),
         F.lit(""),
         F.when(
             read != "",
-            F.concat(F.lit('Teks terbaca dari gambar (OCR):\n"'), preview, F.lit('"\n')),
+            F.concat(F.lit(fv.RENDER_READ), F.lit('"'), preview, F.lit('"\n')),
         ),
         F.when(
             F.coalesce(F.col("ocr_reason"), F.lit("")) != "",
-            F.concat(F.lit("Alasan deteksi (Gemini OCR):\n"), F.col("ocr_reason"), F.lit("\n")),
+            F.concat(F.lit(fv.RENDER_OCR_REASON), F.col("ocr_reason"), F.lit("\n")),
         ),
-        F.concat(F.lit("Rekomendasi:\n"), F.col("recommendation")),
+        F.concat(F.lit(fv.RENDER_ADVICE), F.col("recommendation")),
     )
     return df.withColumn(out, message)

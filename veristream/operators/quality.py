@@ -17,19 +17,19 @@ def _length(column: str, low: int, high: int) -> Column:
 
 def scam_record_rules() -> Rules:
     return {
-        "identifier_type": F.col("identifier_type").isin("bank_account", "phone_number"),
-        "identifier_value": _length("identifier_value", 5, 64),
-        "owner_name": _length("owner_name", 2, 120),
-        "source": _length("source", 2, 120),
+        "identifier_type": F.col("identifier_type").isin(fv.IDENTIFIER_TYPES),
+        "identifier_value": _length("identifier_value", *fv.IDENTIFIER_LENGTH),
+        "owner_name": _length("owner_name", *fv.OWNER_LENGTH),
+        "source": _length("source", *fv.SOURCE_LENGTH),
         "report_count": F.col("report_count") >= 0,
-        "status": F.col("status").isin("active", "under_review", "resolved"),
-        "notes": F.col("notes").isNull() | (F.length("notes") <= 500),
+        "status": F.col("status").isin(fv.RECORD_STATUS),
+        "notes": F.col("notes").isNull() | (F.length("notes") <= fv.NOTES_LENGTH),
     }
 
 
 def live_feed_rules() -> Rules:
     return {
-        "source_type": F.col("source_type").isin("Telegram", "RSS", "Twitter"),
+        "source_type": F.col("source_type").isin(fv.SOURCE_TYPES),
         "label": F.col("label").isin(fv.FEED_LABELS),
         "confidence": F.col("confidence").between(0, 100),
         **{
