@@ -715,8 +715,10 @@ def lr_train_score(spark, sf):
 
 @query
 def model_scores(spark, sf):
-    """Class scores of all documents by a model trained on the labelled ones."""
-    model = train.fit(train.prepare(tb.labeled(spark, sf)), max_iter=200, partitions=cores(spark))
+    """Class scores of all documents by a model trained on the labelled ones, saved and loaded."""
+    path = scratch_path(spark, "model")
+    train.save(train.fit(train.prepare(tb.labeled(spark, sf)), max_iter=200, partitions=cores(spark)), path)
+    model = train.load(spark, path)
     scored = train.score(tb.table(spark, sf, "documents"), model)
     return scored.select("doc_id", *_scores("base", "base"))
 

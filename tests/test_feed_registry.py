@@ -212,3 +212,25 @@ def test_empty_feed_table_can_be_purged(spark, tmp_path):
     feed.insert_ignore(feed_rows(spark, "a"), "feed_table_empty")
     assert spark.table("feed_table_empty").count() == 1
     spark.sql("DROP TABLE feed_table_empty")
+
+
+def test_few_ids_are_looked_up_in_bloom_filters(spark, tmp_path):
+    name = "feed_table_bloom"
+    feed.ensure_table(spark, name, str(tmp_path / "feed"))
+    for k in range(6):
+        feed.insert_ignore(feed_rows(spark, *[f"id-{(i * 7919) % 100003}-{k}" for i in range(500)]).coalesce(1), name)
+    wanted = feed_rows(spark, "id-7919-2", "id-0-2", "nowhere")
+    seen = feed.seen_ids(wanted, spark.table(name))
+    assert sorted(r["id"] for r in seen.collect()) == ["id-0-2", "id-7919-2"]
+    leaf = seen._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert leaf.metrics().apply("numOutputRows").value() <= 1000  # of 3000: the other files are ruled out
+    assert feed.purge(spark, name, F.col("id") == "id-0-2") == 1
+    assert [r["id"] for r in feed.seen_ids(wanted, spark.table(name)).collect()] == ["id-7919-2"]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_many_ids_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(feed, "LOOKED_UP", 2)
+    table = feed_rows(spark, "a", "b", "c")
+    assert sorted(r["id"] for r in feed.new_rows(feed_rows(spark, "b", "c", "d", "e"), table).collect()) == ["d", "e"]
+    assert feed.new_rows(feed_rows(spark, "a"), table).count() == 0

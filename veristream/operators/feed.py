@@ -97,24 +97,42 @@ def flatten(envelopes: DataFrame, keep: Sequence[str] = (), strict: bool = False
 # --- table ------------------------------------------------------------------
 
 
+#: Each file tells, by a Bloom filter for each run of rows, which ids it cannot hold.
+BLOOM = {
+    "parquet.bloom.filter.enabled#id": "true",
+    "parquet.bloom.filter.expected.ndv#id": "100000",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+#: Ids of a batch up to which they are looked up one by one in those filters.
+LOOKED_UP = 10_000
+
+
 def ensure_table(spark: SparkSession, name: str, path: str | None = None) -> None:
     """Create the feed table if it is not there."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.LIVE_FEED)
     location = f" LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{location}")
+    options = ", ".join(f"'{k}' '{v}'" for k, v in BLOOM.items())
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS ({options}){location}")
 
 
-def new_rows(batch: DataFrame, table: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
-    """Rows of the batch whose id is new; of equal ids the first one wins.
+def seen_ids(batch: DataFrame, table: DataFrame) -> DataFrame:
+    """Ids of the batch that the table holds.
 
-    Only the id column of the table is read, and only ids that the batch holds
-    leave that scan: the semi join turns into a broadcast of the batch's ids
-    while they are few, so the big table is not shuffled.
+    Only the table's id column is read.  A small batch's ids go into the scan as a condition, and
+    runs of rows whose Bloom filter rules all of them out are not read; a larger one's are joined.
     """
+    ids = batch.select("id").filter(F.col("id").isNotNull()).distinct()
+    few = [row["id"] for row in ids.limit(LOOKED_UP + 1).collect()]
+    if len(few) <= LOOKED_UP:
+        return table.select("id").filter(F.col("id").isin(few))
+    return table.select("id").join(ids, "id", "left_semi")
+
+
+def new_rows(batch: DataFrame, table: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
+    """Rows of the batch whose id is new; of equal ids the first one wins."""
     first = Window.partitionBy("id").orderBy(*(order or [F.col("timestamp"), F.col("text_snippet")]))
     unique = batch.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
-    seen = table.select("id").join(batch.select("id").distinct(), "id", "left_semi")
-    return unique.join(seen, "id", "left_anti")
+    return unique.join(seen_ids(batch, table), "id", "left_anti")
 
 
 def insert_ignore(batch: DataFrame, table: str, order: Sequence[Column] = ()) -> None:
@@ -177,7 +195,7 @@ def _swap(spark: SparkSession, table: str, change: Callable[[DataFrame], tuple[D
     sweep(spark, table)
     old = _location(spark, table)
     path = f"{re.sub('[.]v-[0-9a-f]+$', '', old)}.v-{uuid.uuid4().hex}"
-    spark.createDataFrame([], schemas.LIVE_FEED).write.parquet(path)
+    spark.createDataFrame([], schemas.LIVE_FEED).write.options(**BLOOM).parquet(path)
     _take(spark, path, [])
     taken: set[str] = set()
     affected = 0
@@ -186,7 +204,7 @@ def _swap(spark: SparkSession, table: str, change: Callable[[DataFrame], tuple[D
         rows = spark.read.schema(schemas.LIVE_FEED).parquet(*fresh)
         _, hit = change(rows)
         stay, _ = change(rows.observe(observed, F.count_if(hit).alias("affected")))
-        stay.select(*schemas.LIVE_FEED.names).write.mode("append").parquet(path)
+        stay.select(*schemas.LIVE_FEED.names).write.options(**BLOOM).mode("append").parquet(path)
         affected += int(observed.get["affected"] or 0)
         _take(spark, path, fresh)
         taken.update(fresh)

@@ -35,13 +35,18 @@ def read_topics(
     bootstrap: str | None = None,
     folder: str | None = None,
     files_per_trigger: int | None = None,
+    handover: str | None = None,
 ) -> DataFrame:
     """A stream of (topic, value, timestamp, ...) from Kafka or from a folder.
 
-    ``starting="earliest"`` gives history first, then live messages.
+    ``starting="earliest"`` gives history first, then live messages.  For a folder, "latest" leaves
+    out the files that were there at the first start, which are written down at ``handover``;
+    without a place for that a folder is read from its beginning.
     """
     if bootstrap:
         return _from_kafka(spark.readStream, topics, starting, bootstrap)
+    if starting == "latest" and handover:
+        return history_then_live(spark, handover, topics, folder=folder, files_per_trigger=files_per_trigger)[1]
     reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
