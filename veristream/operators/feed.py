@@ -104,7 +104,7 @@ BLOOM = {
     "parquet.bloom.filter.adaptive.enabled": "true",
 }
 #: Ids of a batch up to which they are looked up one by one in those filters.
-LOOKED_UP = 10_000
+LOOKED_UP = 1000
 
 
 def ensure_table(spark: SparkSession, name: str, path: str | None = None) -> None:
@@ -120,19 +120,28 @@ def seen_ids(batch: DataFrame, table: DataFrame) -> DataFrame:
 
     Only the table's id column is read.  A small batch's ids go into the scan as a condition, and
     runs of rows whose Bloom filter rules all of them out are not read; a larger one's are joined.
+    The batch is computed once more for that, so it had better be persisted.
     """
     ids = batch.select("id").filter(F.col("id").isNotNull()).distinct()
     few = [row["id"] for row in ids.limit(LOOKED_UP + 1).collect()]
     if len(few) <= LOOKED_UP:
         return table.select("id").filter(F.col("id").isin(few))
-    return table.select("id").join(ids, "id", "left_semi")
+    return _joined_ids(batch, table)
 
 
-def new_rows(batch: DataFrame, table: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
-    """Rows of the batch whose id is new; of equal ids the first one wins."""
+def _joined_ids(batch: DataFrame, table: DataFrame) -> DataFrame:
+    """The semi join turns into a broadcast of the batch's ids while they are few, so a big table is not shuffled."""
+    return table.select("id").join(batch.select("id").distinct(), "id", "left_semi")
+
+
+def new_rows(batch: DataFrame, table: DataFrame, order: Sequence[Column] = (), seen: DataFrame | None = None) -> DataFrame:
+    """Rows of the batch whose id is new; of equal ids the first one wins.
+
+    ``seen``: the batch's ids that the table holds, where they are known already.
+    """
     first = Window.partitionBy("id").orderBy(*(order or [F.col("timestamp"), F.col("text_snippet")]))
     unique = batch.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
-    return unique.join(seen_ids(batch, table), "id", "left_anti")
+    return unique.join(_joined_ids(batch, table) if seen is None else seen, "id", "left_anti")
 
 
 def insert_ignore(batch: DataFrame, table: str, order: Sequence[Column] = ()) -> None:
@@ -142,7 +151,8 @@ def insert_ignore(batch: DataFrame, table: str, order: Sequence[Column] = ()) ->
     """
     spark = batch.sparkSession
     sweep(spark, table)
-    fresh = new_rows(batch, spark.table(table), order)
+    stored = spark.table(table)
+    fresh = new_rows(batch, stored, order, seen_ids(batch, stored))
     if "inserted_at" not in fresh.columns:
         fresh = fresh.withColumn("inserted_at", F.current_timestamp())
     fresh.select(*schemas.LIVE_FEED.names).write.insertInto(table)
