@@ -74,3 +74,11 @@ def test_glob_of_files_with_other_columns(spark, tmp_path, blocks):
 ])
 def test_state_of_a_line(line, out, inside):
     assert (records.inside_after(line, False), records.inside_after(line, True)) == (out, inside)
+
+
+def test_empty_files(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("")
+    (tmp_path / "n.csv").write_text("\n\n")
+    assert readers.read_glob(spark, str(tmp_path / "*.csv")).collect() == []
+    (tmp_path / "h.csv").write_text("a,b\n")
+    assert set(readers.read_glob(spark, str(tmp_path / "*.csv")).columns) == {"a", "b", "source"}

@@ -110,7 +110,7 @@ def read_glob(spark: SparkSession, glob: str, fmt: str = "csv", prefix: str = ""
         name = F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B")))
         part = part.withColumn("source", F.concat(F.lit(prefix), name)).drop("path")
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    return spark.createDataFrame([], "source string") if out is None else out  # nothing but empty files
 
 
 def _text_columns(spark: SparkSession, header: str) -> T.StructType:
