@@ -8,11 +8,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veristream.session import scratch_path
 
-__all__ = ["WORD", "SPACE", "materialize", "table", "sha", "slices", "per_text", "shuffle_partitions", "words"]
+__all__ = ["WORD", "SPACE", "materialize", "table", "sha", "slices", "bites", "per_text", "shuffle_partitions", "words"]
 
 #: A word is a run of anything but these.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,15 +49,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def slices(ids: list, texts: list, chars: int = CHARS) -> Iterator[tuple[list, list]]:
     """Runs of rows with at most ``chars`` characters in all; a longer text stands alone."""
+    for a, b in _cuts([len(t) for t in texts], chars):
+        yield ids[a:b], texts[a:b]
+
+
+def _cuts(sizes: list[int], chars: int) -> Iterator[tuple[int, int]]:
     start, size = 0, 0
-    for i, text in enumerate(texts):
-        n = len(text)
+    for i, n in enumerate(sizes):
         if i > start and size + n > chars:
-            yield ids[start:i], texts[start:i]
+            yield start, i
             start, size = i, 0
         size += n
-    if start < len(texts):
-        yield ids[start:], texts[start:]
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def bites(batch: pa.RecordBatch, chars: int = CHARS) -> Iterator[tuple[list, list]]:
+    """``slices`` of an Arrow batch of keys and texts (null: empty); the rest of it stays outside of Python's heap."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
+    for a, b in _cuts(sizes, chars):
+        some = batch.slice(a, b - a)
+        yield some.column(0).to_pylist(), [t or "" for t in some.column(1).to_pylist()]
 
 
 def per_text(
@@ -77,15 +90,13 @@ def per_text(
     def run(batches):
         step = work()
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for some_keys, some in slices(keys, texts, chars):
+            for some_keys, some in bites(batch, chars):
                 columns = step(some_keys, some)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], f.type) for f in out], schema=out
                 )
 
-    return df.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+    return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, schema)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -27,12 +27,14 @@ shuffle partitions).
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veristream.llm.common import WordHash, materialize, mix64, per_text, runs, shuffle_partitions, slices
+from veristream.llm.common import bites, materialize, mix64, per_text, runs, shuffle_partitions
 from veristream.llm.graph import components
 
 WIDTH = 5
@@ -44,19 +46,74 @@ COMMON = 64
 SMALL = 64
 #: Documents in a block of a larger one.
 BLOCK = 256
+#: In place of a part, for the numbers of common shingles: above all parts.
+OFTEN = 1 << 22
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def shingles(texts: list[str], hashes: WordHash, width: int = WIDTH) -> list[np.ndarray]:
+#: A letter's number in the hash of a word (fixed values) and the factor from place to place.
+_SOLID = ~np.isin(np.arange(256), [*range(9, 14), 32])
+_LETTER = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FACTOR = 0x5851F42D4C957F2D
+_BACK = pow(_FACTOR, -1, 1 << 64)
+#: Bytes hashed at a time; a longer word stands alone.
+SPAN = 1 << 18
+
+
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor and of its inverse, modulo 2^64."""
+    up = np.full(n, _FACTOR, np.uint64), np.full(n, _BACK, np.uint64)
+    for p in up:
+        p[0] = 1
+        np.cumprod(p, out=p)
+    return up
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of each word, all words at once.
+
+    The hash is the sum over the word's letters of their numbers times the factor to the power of their
+    place, made from differences of running sums, scrambled together with the word's length.
+    """
+    code = np.frombuffer(text, np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], _SOLID[code], [False]])))
+    start, stop = edge[::2], edge[1::2]
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(stop, start[i] + SPAN, "right")))
+        a, b = start[i], stop[j - 1]
+        up, down = _powers(1 << max(18, int(b - a).bit_length()))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[code[a:b]] * up[: b - a])])
+        out[i:j] = (total[stop[i:j] - a] - total[start[i:j] - a]) * down[start[i:j] - a]
+        i = j
+    return start, mix64(out + mix64((stop - start).astype(np.uint64)))
+
+
+def shingles(texts: list[str], width: int = WIDTH) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    out = []
-    for t in texts:
-        words = t.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-        h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-        if 0 < len(h) < width:
-            out.append(mix64(runs(h, len(h)) + np.uint64(len(h))))
-        else:
-            out.append(np.unique(runs(h, width)))
+    if not texts:
+        return []
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    begin = np.cumsum([0, *[len(r) + 1 for r in raw]])
+    start, hashed = word_hashes(b" ".join(raw).translate(_LOWER))
+    first = np.searchsorted(start, begin)  # the first word of each text
+    n = np.diff(first)
+    all_runs = runs(hashed, width)
+    count = np.maximum(n - width + 1, 0)
+    at = np.cumsum([0, *count])
+    owner = np.repeat(np.arange(len(texts)), count)
+    key = all_runs[np.arange(at[-1]) - at[owner] + first[owner]]
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        key[a:b].sort()
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    key, cut = key[new], np.searchsorted(owner[new], np.arange(len(texts) + 1)).tolist()
+    out = [key[a:b] for a, b in zip(cut[:-1], cut[1:])]
+    for i in np.flatnonzero((n > 0) & (n < width)).tolist():
+        h = hashed[first[i] : first[i + 1]]
+        out[i] = mix64(runs(h, len(h)) + np.uint64(len(h)))
     return out
 
 
@@ -69,10 +126,8 @@ def describe(docs: DataFrame) -> DataFrame:
     """doc_id, n (set size), digest of the set, and shingles common in the document's batch."""
 
     def work():
-        hashes = WordHash()
-
         def step(keys, texts):
-            sets = shingles(texts, hashes)
+            sets = shingles(texts)
             common = np.empty(0, np.uint64)
             if sets:
                 key, count = np.unique(np.concatenate(sets), return_counts=True)
@@ -93,57 +148,63 @@ def describe(docs: DataFrame) -> DataFrame:
 
 
 def _gather(docs: DataFrame, common: np.ndarray, bits: int) -> DataFrame:
-    """Shingles dealt into 2^bits parts by hash, as arrays: part, documents, and per shingle key and document."""
+    """Shingles dealt into 2^bits parts by hash, as arrays: part, documents, and per shingle key and document.
+
+    Common shingles go with their documents instead, each to the part of the document's bucket, by their number.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
+    def packed(owner, key, doc, ids, width, often):
+        """A row for each owner; everything is in order of owner."""
+        cut = np.searchsorted(owner, np.arange((1 << bits) + 1)).tolist()
+        for p, (x, y) in enumerate(zip(cut[:-1], cut[1:])):
+            if x == y:
+                continue
+            seen, number = np.unique(doc[x:y], return_inverse=True)
+            step = np.diff(key[x:y], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, :width]
+            # differences byte by byte: the high bytes are nearly all zero
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p], pa.int32()), pa.array([often]), pa.array([ids[seen].tobytes()], pa.binary()),
+                 pa.array([np.ascontiguousarray(step.T).tobytes()], pa.binary()),
+                 pa.array([number.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()], pa.binary())],
+                names=["part", "often", "docs", "keys", "numbers"],
+            )
+
     def run(batches):
-        hashes, hot = WordHash(), shared.value
+        hot = shared.value
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for ids, some in slices(keys, texts, 4_000_000):
-                for a in range(0, len(ids), 60_000):  # documents are numbered in 16 bits
-                    sets = shingles(some[a : a + 60_000], hashes)
-                    part = np.array(ids[a : a + 60_000], np.int64)
-                    size = np.array([len(s) for s in sets])
-                    key, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+            for some_ids, some in bites(batch, 4_000_000):
+                for a in range(0, len(some_ids), 60_000):  # documents are numbered in 16 bits
+                    sets = shingles(some[a : a + 60_000])
+                    ids = np.array(some_ids[a : a + 60_000], np.int64)
+                    key, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
                     if len(hot):
                         at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
-                        rare = hot[at] != key
-                        key, doc = key[rare], doc[rare]
+                        often = hot[at] == key
+                        owner, number, of = _bucket(ids, 1 << bits)[doc[often]], at[often].astype(np.uint64), doc[often]
+                        order = np.lexsort((number, owner))
+                        yield from packed(owner[order], number[order], of[order], ids, 5, True)
+                        key, doc = key[~often], doc[~often]
                     order = np.argsort(key)
                     key, doc = key[order], doc[order]
                     owner = (key >> np.uint64(64 - bits)).astype(np.int64)
-                    cut = np.searchsorted(owner, np.arange((1 << bits) + 1))
-                    for p in range(1 << bits):
-                        x, y = cut[p], cut[p + 1]
-                        if x == y:
-                            continue
-                        seen, number = np.unique(doc[x:y], return_inverse=True)
-                        low = key[x:y] >> np.uint64(24 - bits) & np.uint64((1 << 40) - 1)
-                        step = np.diff(low, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, :5]
-                        # differences byte by byte: the high bytes are nearly all zero
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([p], pa.int32()), pa.array([part[seen].tobytes()], pa.binary()),
-                             pa.array([np.ascontiguousarray(step.T).tobytes()], pa.binary()),
-                             pa.array([number.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()], pa.binary())],
-                            names=["part", "docs", "keys", "numbers"],
-                        )
+                    yield from packed(owner, key >> np.uint64(24 - bits) & np.uint64((1 << 40) - 1), doc, ids, 5, False)
 
     return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "part int, docs binary, keys binary, numbers binary"
+        run, "part int, often boolean, docs binary, keys binary, numbers binary"
     )
 
 
+def _bucket(doc: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix64(doc.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _shared(table: pa.Table) -> pa.Table:
     """Of one part, the shingles that two documents or more hold, with their number; by buckets of documents."""
-    keys, docs = [], []
-    for d, k, n in zip(*[table.column(c).to_pylist() for c in ("docs", "keys", "numbers")]):
-        number = np.frombuffer(n, np.uint8).reshape(2, -1).T.copy().view("<u2").ravel()
-        step = np.zeros((len(number), 8), np.uint8)
-        step[:, :5] = np.frombuffer(k, np.uint8).reshape(5, -1).T
-        keys.append(np.cumsum(step.view("<u8").ravel()))
-        docs.append(np.frombuffer(d, np.int64)[number])
-    key, doc = np.concatenate(keys), np.concatenate(docs)
+    part, buckets = (table.column(c)[0].as_py() for c in ("part", "buckets"))
+    often = table.column("often")
+    common = _pairs(table.filter(often))
+    key, doc = _pairs(table.filter(pc.invert(often)))
     order = np.argsort(key)
     key, doc = key[order], doc[order]
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -151,7 +212,28 @@ def _shared(table: pa.Table) -> pa.Table:
     held = np.repeat(count, count)
     some = held > 1
     key, doc, held = key[some], doc[some], held[some]
-    bucket = (mix64(doc.astype(np.uint64)) % np.uint64(table.column("buckets")[0].as_py())).astype(np.int64)
+    held = np.minimum(held, (1 << 32) - 2)
+    rare = _by_bucket(part, key, doc, held, _bucket(doc, buckets))
+    if not len(common[0]):
+        return rare
+    key, doc = common
+    last = np.full(len(key), (1 << 32) - 1)
+    order = np.argsort(key, kind="stable")
+    return pa.concat_tables([rare, _by_bucket(OFTEN, key[order], doc[order], last, np.full(len(key), part))])
+
+
+def _pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    keys, docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for d, k, n in zip(*[table.column(c).to_pylist() for c in ("docs", "keys", "numbers")]):
+        number = np.frombuffer(n, np.uint8).reshape(2, -1).T.copy().view("<u2").ravel()
+        step = np.zeros((len(number), 8), np.uint8)
+        step[:, :5] = np.frombuffer(k, np.uint8).reshape(5, -1).T
+        keys.append(np.cumsum(step.view("<u8").ravel()))
+        docs.append(np.frombuffer(d, np.int64)[number])
+    return np.concatenate(keys), np.concatenate(docs)
+
+
+def _by_bucket(part: int, key: np.ndarray, doc: np.ndarray, held: np.ndarray, bucket: np.ndarray) -> pa.Table:
     order = np.lexsort((doc, bucket))  # keys of a document stay in order
     key, doc, held, bucket = key[order], doc[order], held[order], bucket[order]
     first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])])) if len(doc) else np.empty(0, int)
@@ -160,7 +242,6 @@ def _shared(table: pa.Table) -> pa.Table:
     stop = np.append(start[1:], len(first)).astype(int)
     at = np.append(first, len(doc))
     # bytes in planes, documents once each: a third of what plain numbers take on disk
-    held = np.minimum(held, (1 << 32) - 1)
     planes = lambda x, width, a, b: x[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
     blobs = {c: [] for c in ("docs", "sizes", "keys", "held")}
     for a, b in zip(start, stop):
@@ -169,8 +250,7 @@ def _shared(table: pa.Table) -> pa.Table:
         blobs["sizes"].append(size[a:b].astype("<i4").tobytes())
         blobs["keys"].append(planes(key, 5, x, y))
         blobs["held"].append(planes(held, 4, x, y))
-    part = pa.array([table.column("part")[0].as_py()] * len(names), pa.int32())
-    return pa.table({"bucket": pa.array(names.astype(np.int32)), "part": part, **{c: pa.array(x, pa.binary()) for c, x in blobs.items()}})
+    return pa.table({"bucket": pa.array(names.astype(np.int32)), "part": pa.array([part] * len(names), pa.int32()), **{c: pa.array(x, pa.binary()) for c, x in blobs.items()}})
 
 
 def _per_document(table: pa.Table) -> pa.Table:
@@ -224,14 +304,10 @@ def groups(docs: DataFrame) -> DataFrame:
     sets_of = gathered.groupBy("bucket").applyInArrow(_per_document, "doc_id long, shared array<struct<held long, key long>>")
     heads = meta.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"))
     heads = materialize(heads, "heads")
-    extra = _common_sets(docs, common)
     show = prefix_length(F.col("n"))
     rows = heads.join(sets_of, heads["doc"] == sets_of["doc_id"], "left").drop("doc_id")
-    rows = rows.join(extra, rows["doc"] == extra["doc_id"], "left").drop("doc_id")
-    shared = F.concat(
-        F.array_sort(F.coalesce("shared", F.array().cast("array<struct<held:bigint,key:bigint>>"))),
-        F.coalesce("hot", F.array().cast("array<struct<held:bigint,key:bigint>>")),
-    )
+    # Common shingles come last in the order.
+    shared = F.array_sort(F.coalesce("shared", F.array().cast("array<struct<held:bigint,key:bigint>>")))
     rows = rows.select("doc", "n", shared.alias("shared")).withColumn(
         "shown", (show - (F.col("n") - F.size("shared"))).cast("int")
     ).where("shown > 0")
@@ -305,32 +381,6 @@ def _keep_rows(docs: DataFrame, text: Column) -> DataFrame:
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
-def _common_sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """Common shingles of the documents that are too full of them to show enough others."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
-
-    def run(batches):
-        hashes, hot = WordHash(), shared.value
-        for batch in batches:
-            if not len(hot):
-                continue
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for ids, some in slices(keys, texts):
-                rows = []
-                for i, s in zip(ids, shingles(some, hashes)):
-                    mine = s[hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s]
-                    if len(mine):
-                        rows.append((i, [{"held": 1 << 60, "key": int(k)} for k in (mine >> np.uint64(2)).astype(np.int64) | (1 << 62)]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.struct([("held", pa.int64()), ("key", pa.int64())])))],
-                    names=["doc_id", "hot"],
-                )
-
-    return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, hot array<struct<held long, key long>>"
-    )
-
-
 def _recurse(member: DataFrame, known: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
     """Links between components, from regions that still hold several."""
     ring = known.select(
