@@ -23,3 +23,14 @@ def test_very_long_words(kind):
     started = time.perf_counter()
     assert coder.encode(texts) == want
     assert time.perf_counter() - started < 20
+
+
+def test_remembered_words_are_bounded():
+    library = Tokenizer.from_file(bpe_path())
+    library.no_truncation()
+    coder = bpe.Bpe(bpe.read_spec(bpe_path()))
+    for part in range(12):
+        texts = [" ".join(f"the word{part}q{k}z{i}" for i in range(1000)) for k in range(12)]
+        got = coder.encode(texts)
+        assert got[0] == np.array(library.encode(texts[0], add_special_tokens=False).ids, "<u4").tobytes()
+    assert len(coder.known) + len(coder.before) < 100_000

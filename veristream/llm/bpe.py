@@ -33,8 +33,10 @@ ODD_BLANK = regex.compile(r"[\x1c-\x1f]")
 #: Beyond Latin letters, what is a letter depends on the version of Unicode: such strings are cut into words by the
 #: tokenizer library's own expression engine.  (Below, all versions agree and nothing composes.)
 UNUSUAL = regex.compile(r"[^\x00-\u024f]").search
-#: Words remembered by a task.
-REMEMBERED = 500_000
+#: Words remembered by a task, and as many of before; those in use are carried on, the rest are forgotten.
+REMEMBERED = 50_000
+#: Characters encoded at a time.
+CHARS = 500_000
 #: Bytes of a word beyond which it is merged by itself.
 LONG = 64
 #: Bytes of a word above which nothing is proposed for it.
@@ -126,6 +128,7 @@ class Bpe:
         self.rule = Lookup(pairs, np.array([r << 32 | z for r, z in self.rules.values()], np.int64))
         self._build_trie({c: b for b, c in enumerate(letters)})
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.checked = self.failed = 0
 
     def _build_trie(self, byte: dict[str, int]) -> None:
@@ -343,11 +346,15 @@ class Bpe:
             else:
                 rows.append(self._chunks(t))
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.before = {}, self.known
         for s, i in self.added.items():
             self.known[s] = np.asarray([i], "<u4").tobytes()
         known = self.known
         new = {c for r in rows for c in r if c not in known}
+        old = new & self.before.keys()
+        if old:
+            known.update((c, self.before[c]) for c in old)
+            new -= old
         if new:
             self.learn(list(new))
         return [b"".join([known[c] for c in r]) for r in rows]
@@ -401,4 +408,4 @@ def _apply(docs, path, key, text, schema, columns):
         bpe = _LOADED[name]
         return lambda keys, texts: columns(bpe, keys, bpe.encode(texts))
 
-    return per_text(docs, key, text, schema, work)
+    return per_text(docs, key, text, schema, work, CHARS)
