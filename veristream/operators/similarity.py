@@ -151,16 +151,16 @@ def build_index(
     # Cleaned once, used for texts, statistics, weights and look-ups.
     articles = materialize(articles.filter(F.length("_clean") > 0).withColumn("text_key", _text_key()), "similarity-articles")
     distinct = _distinct_texts(articles)
-    prepared = materialize(features.terms(distinct, "_clean").drop("_clean"), "similarity-texts")
+    prepared = materialize(features.terms(distinct, "_clean"), "similarity-texts")
     chosen = features.idf(
-        features.vocabulary(features.term_stats(prepared, copies="copies"), n_terms), features.count_docs(prepared, "copies")
+        features.vocabulary(features.term_stats(prepared, "_clean", "copies"), n_terms), features.count_docs(prepared, "copies")
     )
     seen = F.col("df")
     if background is not None:
         chosen = chosen.join(background.select("term", F.col("df").alias("_seen")), "term", "left")
         seen = F.coalesce("_seen", F.lit(0))
     vocab = materialize(_ordered(chosen, seen), "similarity-vocabulary")
-    counted = _counted(prepared.repartition("text_key"), vocab)
+    counted = _counted(prepared.drop("_clean").repartition("text_key"), vocab)
     return Index(materialize(_postings(counted, vocab), "similarity-postings"), vocab, articles.drop("_clean"), n_terms)
 
 
