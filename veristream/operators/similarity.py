@@ -1,15 +1,15 @@
 """Most similar verified hoaxes: cosine of TF-IDF rows, top k above a threshold.
 
-Both sides have their terms in one order, from rare to common.  The commonest few terms of the
-order are kept as a short dense array of every text, whose product is cheap.  What a pair can
-still gain from a term on, the common ones aside, is at most the product of both remaining norms
-(Cauchy-Schwarz).  A text and an article are joined by a term only where that product and the
-product of the common parts reach the threshold together; terms that come later are looked up
-for the pairs left, after the same test with what was found.  No similar pair is lost.
-
-The index keeps weights, remaining norms and order, bucketed by term, so that a saved one is
-never shuffled; long posting lists are in several chunks.  Copies are handled once: equal
-cleaned texts, on either side, are one row of the computation.
+The commonest few terms among the texts asked for are kept as a short dense array of every text,
+whose product is cheap.  A text and an article meet by every other term that both have, and by a
+common one only where the product of the common parts alone reaches the threshold; their products
+are added up as they meet, in one pass, so that no pair is looked up again.  Texts are cleaned,
+dealt by their key and turned to vectors once; where the index is small enough to be sent to the
+tasks, that is their only shuffle.  No similar pair is lost.
+
+The index keeps weights and common parts, bucketed by term, so that a saved one is never shuffled;
+long posting lists are in several chunks.  Copies are handled once: equal cleaned texts, on either
+side, are one row of the computation.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veristream import fixed_values as fv
-from veristream.functions import text as tx
+from veristream.functions import grams, text as tx
 from veristream.functions.planning import compute_once, explode_rows
 from veristream.operators import features
-from veristream.session import materialize, spread
+from veristream.session import materialize, spread, tasks_for
 
 _SLACK = 1e-9  # rounding room of the sums, in favour of candidates
 TIE_DIGITS = 9  # similarities equal to this many digits are ties
@@ -36,7 +36,7 @@ BUCKETS = 64  # of a saved index
 class Index:
     """Postings by distinct text, vocabulary with its order, and the articles behind a text."""
 
-    postings: DataFrame  # place (of the term), chunk, text_key, weight, slot, rest, after, all_rest, common
+    postings: DataFrame  # place (of the term), chunk, text_key, weight, slot, common
     vocabulary: DataFrame  # term, total, df, idf, place, slot, chunks
     articles: DataFrame  # id, text_key, title, url, category
     n_terms: int
@@ -93,6 +93,19 @@ def _ordered(vocab: DataFrame, seen: Column) -> DataFrame:
     )
 
 
+def _terms(vocab: DataFrame) -> grams.Terms:
+    """The vocabulary for the tasks: as many rows as the index has terms, which its maker bounds."""
+    rows = vocab.select("term", "place", "idf").collect()
+    return grams.Terms([r["term"] for r in rows], [r["place"] for r in rows], [r["idf"] for r in rows])
+
+
+def _ordered_among(vocab: DataFrame, texts: DataFrame) -> DataFrame:
+    """The vocabulary in the order of rarity among cleaned texts (``_clean``)."""
+    seen = texts.select("_clean").mapInArrow(_terms(vocab).seen, "place int, seen bigint")
+    counts = vocab.join(seen.groupBy("place").agg(F.sum("seen").alias("_seen")), "place", "left")
+    return materialize(_ordered(counts.drop("place", "slot", "chunks"), F.coalesce("_seen", F.lit(0))), "similarity-order")
+
+
 def _counted(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """(text_key, term, tf) of vocabulary terms; ``docs`` come dealt by text_key."""
     rows = explode_rows(docs, ["text_key"], F.col("terms"), "term").join(vocab.select("term"), "term", "left_semi")
@@ -100,42 +113,30 @@ def _counted(docs: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def _with_norms(counted: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Postings: unit weights, and the norm that is left from each term on.
-
-    ``rest`` and ``after`` leave the common terms out and count the term itself in or not;
-    ``all_rest`` counts everything in.
-    """
+    """Unit weights, and the weights of the common terms at hand in every row."""
     row = Window.partitionBy("text_key")
-    onwards = row.orderBy(F.col("place").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     raw = counted.join(vocab.select("term", "idf", "place", "slot", "chunks"), "term").withColumn("_x", F.col("tf") * F.col("idf"))
     unit = raw.withColumn("weight", F.col("_x") / F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(row)))
-    square = F.col("weight") * F.col("weight")
-    rare = F.when(F.col("slot").isNull(), square).otherwise(0.0)
     common = [F.coalesce(F.max(F.when(F.col("slot") == i, F.col("weight"))).over(row), F.lit(0.0)) for i in range(COMMON)]
-    left = F.sum(rare).over(onwards)
-    return unit.select(
-        "text_key", "place", "slot", "chunks", "weight",
-        F.when(F.col("slot").isNull(), F.sqrt(left)).otherwise(0.0).alias("rest"),
-        F.when(F.col("slot").isNull(), F.sqrt(F.greatest(left - square, F.lit(0.0)))).otherwise(0.0).alias("after"),
-        F.sqrt(F.sum(square).over(onwards)).alias("all_rest"), F.array(*common).alias("common"),
-    )
+    return unit.select("text_key", "place", "slot", "chunks", "weight", F.array(*common).alias("common"))
 
 
 def _postings(counted: DataFrame, vocab: DataFrame) -> DataFrame:
     """The index side: every posting in a chunk of its term's list."""
     chunk = F.pmod(F.xxhash64("text_key"), F.col("chunks")).cast("int").alias("chunk")
-    return _with_norms(counted, vocab).select("place", chunk, "text_key", "weight", "slot", "rest", "after", "all_rest", "common")
+    return _with_norms(counted, vocab).select("place", chunk, "text_key", "weight", "slot", "common")
 
 
 def build_index(
     corpus: DataFrame, id: str = "id", n_terms: int = fv.SIMILARITY_FEATURES, partitions: int | None = None,
-    background: DataFrame | None = None,
+    background: DataFrame | None = None, texts: DataFrame | None = None,
 ) -> Index:
     """Index of articles with ``title`` and ``body_text``.
 
     Missing ``url`` and ``category`` columns count as ''.  Articles whose
     cleaned text is empty are left out.  ``background`` (term, df) tells how common terms are
     among the texts to be looked up; it decides the order and with it the work, not the result.
+    ``texts``, cleaned ones in ``_clean``, stand for it: the index's own terms are counted in them.
     """
     blank = F.lit("")
     given = lambda c: F.coalesce(F.col(c), blank) if c in corpus.columns else blank
@@ -160,21 +161,34 @@ def build_index(
         chosen = chosen.join(background.select("term", F.col("df").alias("_seen")), "term", "left")
         seen = F.coalesce("_seen", F.lit(0))
     vocab = materialize(_ordered(chosen, seen), "similarity-vocabulary")
+    if texts is not None:
+        vocab = _ordered_among(vocab, texts)
     counted = _counted(prepared.drop("_clean").repartition("text_key"), vocab)
     return Index(materialize(_postings(counted, vocab), "similarity-postings"), vocab, articles.drop("_clean"), n_terms)
 
 
-def _reordered(index: Index, counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _reordered(index: Index, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Postings and vocabulary in the order of rarity among the texts asked for."""
-    asked = counted.groupBy("term").agg(F.count("*").alias("_seen"))
-    vocab = materialize(
-        _ordered(index.vocabulary.drop("place", "slot", "chunks").join(asked, "term", "left"), F.coalesce("_seen", F.lit(0))), "similarity-order"
-    )
+    vocab = _ordered_among(index.vocabulary, asked)
     # tf is known only up to the idf's factor and the length, and both cancel out.
     again = index.postings.select("text_key", "place", "weight").join(index.vocabulary.select("place", "term", F.col("idf").alias("_idf")), "place")
     return _postings(again.select("text_key", "term", (F.col("weight") / F.col("_idf")).alias("tf")), vocab), vocab
 
 
+def _asked(texts: DataFrame, vocab: DataFrame, tasks: int) -> DataFrame:
+    """The query side as ``_with_norms`` gives it, for (text_key, _clean); all of a text in one of ``tasks`` tasks."""
+    terms = _terms(vocab)
+    vectors = texts.mapInArrow(terms.weigh, "text_key binary, places array<int>, weights array<double>").repartition(tasks, "text_key")
+    # The commonest terms have the highest places, 0, -1 and so on.
+    weight_of = lambda i: F.coalesce(F.get("weights", F.array_position("places", F.lit(-i)).cast("int") - 1), F.lit(0.0))
+    with_common = vectors.withColumn("common", F.array(*[weight_of(i) for i in range(COMMON)]))
+    rows = with_common.select("text_key", "weights", "common", F.posexplode("places").alias("_i", "place")).select(
+        "text_key", "place", F.get("weights", F.col("_i")).alias("weight"), "common"
+    )
+    long = F.broadcast(vocab.filter("chunks > 1").select("place", "chunks"))
+    return rows.join(long, "place", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+
+
 def _dot(left: str, right: str) -> Column:
     total = F.lit(0.0)
     for i in range(COMMON):
@@ -183,64 +197,35 @@ def _dot(left: str, right: str) -> Column:
 
 
 def candidates(asked: DataFrame, postings: DataFrame, threshold: float) -> DataFrame:
-    """(query_key, text_key, acc, last, dot): pairs that may be similar.
+    """(query_key, text_key, _sim): pairs of texts whose product reaches the threshold, rounding aside.
 
-    ``asked`` are the query side's postings, in the same order of terms.  ``acc`` is the product
-    over the terms joined, up to place ``last``, ``dot`` that over the common ones.
+    ``asked`` are the query side's postings, in the same order of terms.
     """
-    # Neither side's terms can decide once its own norm has fallen below the threshold.
-    reach = F.col("all_rest") >= threshold - _SLACK
     mine = explode_rows(
-        asked.filter(reach),
-        [F.col("text_key").alias("query_key"), "place", F.col("weight").alias("_w"), F.col("rest").alias("_rest"),
-         F.col("after").alias("_after"), F.col("common").alias("_common")],
+        asked, [F.col("text_key").alias("query_key"), "place", F.col("weight").alias("_w"), F.col("common").alias("_common")],
         F.sequence(F.lit(0), F.col("chunks") - 1), "chunk",
     )
-    joined = mine.join(postings.filter(reach), ["place", "chunk"]).withColumn("_dot", _dot("_common", "common"))
-    near = joined.filter(F.col("_rest") * F.col("rest") + F.col("_dot") >= threshold - _SLACK)
-    rare = F.col("slot").isNull()
-    return near.groupBy("query_key", "text_key").agg(
-        F.sum(F.when(rare, F.col("_w") * F.col("weight")).otherwise(0.0)).alias("acc"),
-        F.max("place").alias("last"),
-        # Remaining products fall with the place, so the least one belongs to the last term.
-        F.min(F.col("_after") * F.col("after")).alias("_open"),
-        F.first("_dot").alias("dot"),
-    ).filter(F.col("acc") + F.col("_open") + F.col("dot") >= threshold - _SLACK).drop("_open")
-
-
-def _similar(asked: DataFrame, postings: DataFrame, threshold: float) -> DataFrame:
-    """(query_key, text_key, _sim) of the pairs at or above the threshold."""
-    pairs = materialize(candidates(asked, postings, threshold), "similarity-candidates")
+    joined = mine.join(postings, ["place", "chunk"]).withColumn("_dot", _dot("_common", "common"))
     rare = F.col("slot").isNull()
-    mine = asked.filter(rare).select(F.col("text_key").alias("query_key"), "place", F.col("weight").alias("_w"))
-    rest = (
-        pairs.select("query_key", "text_key", "last")
-        .join(postings.filter(rare).select("text_key", "place", "weight"), "text_key").filter(F.col("place") > F.col("last"))
-        .join(mine, ["query_key", "place"])
-        .groupBy("query_key", "text_key").agg(F.sum(F.col("_w") * F.col("weight")).alias("_more"))
-    )
+    # The common terms' product is in every row; by it alone a pair is made only where it suffices.
+    met = joined.filter(rare | (F.col("_dot") >= threshold - _SLACK))
     return (
-        pairs.join(rest, ["query_key", "text_key"], "left")
-        .withColumn("_sim", F.col("acc") + F.col("dot") + F.coalesce("_more", F.lit(0.0)))
-        .filter(F.round("_sim", TIE_DIGITS) >= threshold)
-        .select("query_key", "text_key", "_sim")
+        met.groupBy("query_key", "text_key")
+        .agg((F.sum(F.when(rare, F.col("_w") * F.col("weight")).otherwise(0.0)) + F.max("_dot")).alias("_sim"))
+        .filter(F.col("_sim") >= threshold - _SLACK)
     )
 
 
-def _best(asked: DataFrame, index: Index, k: int, threshold: float, reorder: bool) -> DataFrame:
+def _best(asked: DataFrame, index: Index, k: int, threshold: float, reorder: bool, tasks: int = 1) -> DataFrame:
     """(query_key, rank, id, title, url, category, _sim) for (text_key, _clean) rows."""
     if threshold <= 0:
         raise ValueError("threshold must be above 0")
-    prepared = features.terms(_distinct_texts(asked), "_clean").select("text_key", "terms")
-    counted = _counted(prepared, index.vocabulary)
     postings, vocab = index.postings, index.vocabulary
     if reorder:
-        counted = materialize(counted, "similarity-counts")
-        postings, vocab = _reordered(index, counted)
+        postings, vocab = _reordered(index, asked)
         postings = materialize(postings, "similarity-reordered")
-    # Read twice: by the candidates, and for what they have in common besides.
-    q = materialize(_with_norms(counted, vocab), "similarity-queries")
-    similar = _similar(q, postings, threshold)
+    q = _asked(_distinct_texts(asked).select("text_key", "_clean"), vocab, tasks_for(asked, "_clean", tasks))
+    similar = candidates(q, postings, threshold).filter(F.round("_sim", TIE_DIGITS) >= threshold)
     # Of articles with one text only the first k can be among the top k.
     same_text = Window.partitionBy("text_key").orderBy("id")
     firsts = (
@@ -275,7 +260,7 @@ def topk(
     texts = spread(queries.select(F.col(id).alias("query_id"), F.col(text).alias("_text")), partitions)
     cleaned = compute_once(texts, "_clean", tx.clean_similarity(F.col("_text"))).drop("_text")
     asked = materialize(cleaned.filter(F.length("_clean") > 0).withColumn("text_key", _text_key()), "similarity-asked")
-    ranked = _best(asked.select("text_key", "_clean"), index, k, threshold, reorder)
+    ranked = _best(asked.select("text_key", "_clean"), index, k, threshold, reorder, partitions or 1)
     return asked.select("query_id", F.col("text_key").alias("query_key")).join(ranked, "query_key").select(
         "query_id",
         "rank",
