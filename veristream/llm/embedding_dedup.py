@@ -1,25 +1,33 @@
 """Near copies among embeddings: spherical k-means cells, blocked cosine products inside them.
 
 Equal vectors are put together first.  Centroids are fitted on a bounded sample; every vector
-is then put in the cell of its nearest centroid, and, as a visitor, in each cell of smaller
+is then put in the cell of its nearest centroid, and is, as a visitor, compared in each cell of smaller
 number whose border is within ``margin`` (distance to the plane between the two centroids).
-Inside a cell, blocks of vectors are multiplied with blocks of vectors, visitors included.  Two
-vectors with the given cosine are at most sqrt(2 - 2 cos) apart, so the default margin of that size
+Two vectors with the given cosine are at most sqrt(2 - 2 cos) apart, so the default margin of that size
 (0.447 for 0.9) loses nothing.  Vectors of many dimensions then visit most cells, so cells are
-coarse: a vector is sent once per thousands of others, not once per cell of a few hundred.
-Components are formed over the links; one vector of each stays.
+coarse.  No vector is sent to the cells it visits: vectors are written once, in the order of their cells and
+in blocks, and blocks meet in a Cartesian product, whose tasks read both sides' files.  Two blocks meet if
+one has vectors that live in or visit a cell of the other, and only those are multiplied.  So disk grows with the
+vectors; pairs compared grow with their square where cells prune nothing.
+
+A product is first taken over the few directions that hold most of the vectors, in single precision, with
+the norms of what they leave out: no cosine is above that.  Pairs that can reach the cosine are computed in full and
+in double precision.  Components are formed over the links; one vector of each stays.
 
 Vectors that are null, all zero, or hold a null or a number that isn't finite have no links.
 Vectors of different length aren't compared.  Repeated rows are rows of their own, and so are rows
 that share a vec_id with unlike vectors: each has its own vector's links and component.  A null id
-has a null component.  Other columns are not read.
+has a null component.  Other columns are not read.  The input is read twice.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from veristream.llm.common import materialize
 from veristream.llm.graph import components
@@ -31,27 +39,51 @@ SAMPLE = 20_000
 CELLS = 8192
 #: Vectors in a cell, about.
 CELL = 4096
-#: Vectors in a block.
-BLOCK = 2048
+#: Vectors in a block, and their bytes, at most.
+BLOCK, BLOCK_BYTES = 16_384, 4_000_000
+#: Vectors of either side that are multiplied at a time.
+TILE = 1024
+#: Bytes of vectors that a task reads of either side, about.
+SIDE_BYTES = 16_000_000
+#: Blocks that a task keeps ready.
+READY = 8
+#: Vectors of more dimensions are not turned.
+TURNED = 2048
+#: Links that a pair of blocks holds before they are folded to trees.
+FOLD = 1_000_000
 
 
-def _unit(vectors: DataFrame) -> DataFrame:
-    """vec_id and the unit vector as bytes (null where there is none), computed in double precision."""
+def _keyed(vectors: DataFrame) -> DataFrame:
+    """vec_id, the vector's numbers as bytes and a digest that only depends on its direction (both null where it has none)."""
+    kind = vectors.schema["embedding"].dataType
+    single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
 
     def run(batches):
         for batch in batches:
-            out = []
-            for v in batch.column(1).to_pylist():
-                u = None
-                if v and None not in v:
-                    x = np.asarray(v, np.float64)
-                    if np.isfinite(x).all() and (top := np.abs(x).max()) > 0:
-                        x = x / top
-                        u = (x / np.sqrt(x @ x) + 0.0).tobytes()
-                out.append(u)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["vec_id", "unit"])
+            lists = batch.column(1)
+            offset, valid = lists.offsets.to_numpy(), lists.is_valid().to_numpy(zero_copy_only=False)
+            values = lists.values.to_numpy(zero_copy_only=False)  # a null becomes NaN
+            size = np.where(valid, np.diff(offset), 0)
+            keys, raws = [None] * len(size), [None] * len(size)
+            for d in np.unique(size[size > 0]):
+                rows = np.flatnonzero(size == d)
+                for some in np.array_split(rows, max(1, len(rows) * int(d) // 500_000)):
+                    raw = values[offset[some][:, None] + np.arange(d)]
+                    x = raw.astype(np.float64)
+                    top = np.abs(x).max(1)
+                    for k in np.flatnonzero(np.isfinite(x).all(1) & (top > 0)):
+                        keys[some[k]], raws[some[k]] = hashlib.md5((x[k] / top[k] + 0.0).tobytes(), usedforsecurity=False).digest(), raw[k].tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(raws, pa.binary())], names=["vec_id", "key", "raw"])
 
-    return vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(run, "vec_id long, unit binary")
+    given = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>" if single else "array<double>"))
+    return given.mapInArrow(run, "vec_id long, key binary, raw binary"), (4 if single else 8)
+
+
+def _units(raw: bytes, d: int, width: int) -> np.ndarray:
+    """Unit vectors, in double precision."""
+    x = np.frombuffer(raw, np.float32 if width == 4 else np.float64).reshape(-1, d).astype(np.float64)
+    x /= np.abs(x).max(1)[:, None]
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
 def safe_margin(cosine: float) -> float:
@@ -71,71 +103,217 @@ def fit_cells(x: np.ndarray, cells: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
-def _assign(heads: DataFrame, centroids: dict[int, np.ndarray], margin: float) -> DataFrame:
-    """(dim, cell, home, rep, copies, unit): a row for each cell a vector is in."""
-    shared = heads.sparkSession.sparkContext.broadcast(
-        # Rounding spoils the gaps of centroids that nearly coincide; a wider gap makes borders nearer, which loses nothing.
-        {d: (c, np.sqrt(np.maximum(2 - 2 * c @ c.T, 1e-8))) for d, c in centroids.items()}
-    )
+def fit_turn(x: np.ndarray, cosine: float) -> tuple[np.ndarray | None, int]:
+    """A rotation that puts the directions that hold most first, and how many of them to multiply before all."""
+    d = x.shape[1]
+    if d > TURNED:
+        return None, d
+    turn = np.linalg.eigh(x.T @ x)[1][:, ::-1].copy()
+    some = x[:512] @ turn
+    pairs = np.triu_indices(len(some), 1)
+    best, lead = float(d), d
+    for k in range(0, d, max(1, d // 16)):
+        rest = np.sqrt((some[:, k:] ** 2).sum(1))
+        bound = (some[:, :k] @ some[:, :k].T + rest[:, None] * rest)[pairs]
+        cost = k + 1 + 15_000 * float((bound >= cosine).mean()) if len(bound) else d  # a pair computed by itself costs as thousands of products
+        if cost < best:
+            best, lead = cost, k
+    return turn, lead
+
+
+def _lead(x: np.ndarray, turn: np.ndarray | None, lead: int) -> np.ndarray:
+    """The leading directions and the norm of the rest: products of these are at least the cosines."""
+    if lead == x.shape[1]:
+        return x.astype(np.float32)
+    y = x @ turn
+    return np.concatenate([y[:, :lead], np.sqrt((y[:, lead:] ** 2).sum(1))[:, None]], 1).astype(np.float32)
+
+
+def _gap(centroids: np.ndarray, cell: int) -> np.ndarray:
+    # Rounding spoils the gaps of centroids that nearly coincide; a wider gap makes borders nearer, which loses nothing.
+    return np.sqrt(np.maximum(2 - 2 * centroids @ centroids[cell], 1e-8))
+
+
+def _place(heads: DataFrame, shared, width: int) -> DataFrame:
+    """(dim, cell, rep, least, copies, raw): every vector in the cell of its nearest centroid."""
 
     def run(batches):
-        table = shared.value
+        cells = shared.value
         for batch in batches:
-            units = batch.column("unit").to_pylist()
-            size = np.array([len(u) // 8 for u in units], np.int64)
+            raws = batch.column("raw").to_pylist()
+            size = np.array([len(r) // width for r in raws], np.int64)
+            home = np.empty(len(raws), np.int32)
             for d in np.unique(size):
-                c, gap = table[int(d)]
                 rows = np.flatnonzero(size == d)
                 for some in np.array_split(rows, max(1, len(rows) // 2048)):
-                    x = np.frombuffer(b"".join([units[i] for i in some]), np.float64).reshape(len(some), d)
-                    near = x @ c.T
-                    home = near.argmax(1)
-                    border = (near[np.arange(len(some)), home][:, None] - near) / gap[home]
-                    r, cell = np.nonzero((border <= margin) & (np.arange(len(c)) < home[:, None]))
-                    r, cell = np.concatenate([np.arange(len(some)), r]), np.concatenate([home, cell])
-                    at = pa.array(some[r])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(r), d, np.int32)), pa.array(cell.astype(np.int32)), pa.array(np.arange(len(r)) < len(some)),
-                         batch.column("rep").take(at), batch.column("copies").take(at), batch.column("unit").take(at)],
-                        names=["dim", "cell", "home", "rep", "copies", "unit"],
-                    )
-
-    return heads.mapInArrow(run, "dim int, cell int, home boolean, rep long, copies long, unit binary")
-
-
-def _blocks(table: pa.Table, cosine: float) -> pa.Table:
-    """Links of one block with another: what each vector gains, and a star for each group linked here."""
-    side, rep, copies = (table.column(c).to_numpy() for c in ("side", "rep", "copies"))
-    x = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(rep), -1)
-    a, b = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
-    if not len(a) or not len(b):
-        return pa.table({"rep": pa.array([], pa.int64()), "gain": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
-    linked = x[a] @ x[b].T >= cosine
-    same = bool(table.column("same")[0].as_py())
-    if same:  # the block with itself: each pair once
-        linked &= rep[a][:, None] < rep[b][None, :]
-    gain = np.zeros(len(rep), np.int64)
-    gain[a] = linked @ copies[b]
-    gain[b] += copies[a] @ linked
-    i, j = np.nonzero(linked)
-    if same:
-        place = {int(r): k for k, r in zip(b, rep[b])}
-        to_b = np.array([place[int(r)] for r in rep[a]])
-        i = to_b[i]
-        gain[to_b] += gain[a]
-        gain[a] = 0
-    else:
-        i = a[i]
-    j = b[j]
-    root = rep.copy()
+                    home[some] = (_units(b"".join([raws[i] for i in some]), int(d), width) @ cells[int(d)][0].T).argmax(1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(size.astype(np.int32)), pa.array(home), *(batch.column(c) for c in ("rep", "least", "copies", "raw"))],
+                names=["dim", "cell", "rep", "least", "copies", "raw"],
+            )
+
+    return heads.select("rep", "least", "copies", "raw").mapInArrow(run, "dim int, cell int, rep long, least long, copies long, raw binary")
+
+
+def _rows(d: int, width: int) -> int:
+    return int(min(BLOCK, max(1, BLOCK_BYTES // (d * width))))
+
+
+def _pack(placed: DataFrame, shared, margin: float, width: int) -> DataFrame:
+    """Blocks of vectors that stand together: their cells, and these and the cells of smaller number that any of them visits."""
+
+    def block(table: pa.Table) -> pa.RecordBatch:
+        d, cell = table.column("dim")[0].as_py(), table.column("cell").to_numpy()
+        raw, c = b"".join(table.column("raw").to_pylist()), shared.value[d][0]
+        own, seen = np.unique(cell), np.zeros(len(c), bool)
+        seen[own] = True
+        gap = {int(h): _gap(c, h) for h in own}
+        x = _units(raw, d, width)
+        for h in own:
+            some = x[cell == h]
+            for part in np.array_split(some, max(1, len(some) // TILE)):
+                near = part @ c[: h + 1].T
+                seen[: h + 1] |= ((near[:, h : h + 1] - near) / gap[int(h)][: h + 1] <= margin).any(0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([d], pa.int32()), pa.array([own.tolist()], pa.list_(pa.int32())), pa.array([np.flatnonzero(seen).tolist()], pa.list_(pa.int32())),
+             pa.array([cell.tobytes()], pa.binary()), *(pa.array([table.column(n).to_numpy().tobytes()], pa.binary()) for n in ("rep", "least", "copies")),
+             pa.array([raw], pa.binary())],
+            names=["dim", "cells", "visits", "cell", "rep", "least", "copies", "raw"],
+        )
+
+    def run(batches):
+        held, n, dim = [], 0, None
+        for batch in batches:
+            size = batch.column("dim").to_numpy()
+            at = 0
+            while at < len(size):
+                if held and dim != size[at]:
+                    yield block(pa.Table.from_batches(held))
+                    held, n = [], 0
+                dim = size[at]
+                same = len(size) if size[-1] == dim else at + int(np.argmax(size[at:] != dim))
+                take = min(same - at, _rows(int(dim), width) - n)
+                held.append(batch.slice(at, take))
+                at, n = at + take, n + take
+                if n == _rows(int(dim), width):
+                    yield block(pa.Table.from_batches(held))
+                    held, n = [], 0
+        if held:
+            yield block(pa.Table.from_batches(held))
+
+    return placed.mapInArrow(
+        run, "dim int, cells array<int>, visits array<int>, cell binary, rep binary, least binary, copies binary, raw binary"
+    )
+
+
+def _near(one: np.ndarray, two: np.ndarray, xa: np.ndarray, xb: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs with the cosine; ``one`` and ``two`` are what ``_lead`` makes of ``xa`` and ``xb``."""
+    low = cosine - (one.shape[1] + 8) * 2.0**-23  # single precision is off by less
+    can = (one @ two.T >= np.float32(low)).ravel()
+    if np.count_nonzero(can) * 32 > len(can):
+        return np.nonzero(xa @ xb.T >= cosine)
+    whole = len(can) // 8 * 8  # hits are rare: found eight places at a time
+    some = (np.flatnonzero(can[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    hit = np.concatenate([some[can[some]], whole + np.flatnonzero(can[whole:])])
+    i, j = np.divmod(hit, len(xb))
+    full = [np.einsum("ij,ij->i", xa[i[k : k + 4096]], xb[j[k : k + 4096]]) >= cosine for k in range(0, len(i), 4096)]
+    ok = np.concatenate(full) if full else np.zeros(0, bool)
+    return i[ok], j[ok]
+
+
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least number that each of ``n`` is linked to."""
+    root = np.arange(n)
     while True:
-        before = root.copy()
-        np.minimum.at(root, i, root[j])
-        np.minimum.at(root, j, root[i])
+        before, low = root, np.minimum(root[i], root[j])
+        root = root.copy()
+        np.minimum.at(root, i, low)
+        np.minimum.at(root, j, low)
+        root = root[root]
         if (root == before).all():
-            break
-    some = gain > 0
-    return pa.table({"rep": pa.array(rep[some], pa.int64()), "gain": pa.array(gain[some]), "root": pa.array(root[some], pa.int64())})
+            return root
+
+
+class _Block:
+    """A block with its unit vectors."""
+
+    def __init__(self, columns: dict, cells: dict, width: int):
+        d = columns["dim"]
+        self.centroids, turn, lead = cells[d]
+        self.cell = np.frombuffer(columns["cell"], np.int32)
+        self.rep, self.least, self.copies = (np.frombuffer(columns[c], np.int64) for c in ("rep", "least", "copies"))
+        self.x = _units(columns["raw"], d, width)
+        self.own = np.einsum("ij,ij->i", self.x, self.centroids[self.cell])
+        self.lead = _lead(self.x, turn, lead)
+
+    def compared_in(self, cell: int, margin: float) -> np.ndarray:
+        """Places of the vectors that live in the cell, or in one of larger number and visit it."""
+        border = (self.own - self.x @ self.centroids[cell]) / _gap(self.centroids, cell)[self.cell]
+        return np.flatnonzero((self.cell == cell) | (self.cell > cell) & (border <= margin))
+
+
+def _meet(a: _Block, b: _Block, cosine: float, margin: float) -> tuple:
+    """Links of a block with one that stands behind it, or with itself: rep, least, gain and root of every linked vector."""
+    shift = 0 if a is b else len(a.rep)
+    rep, least, copies = (getattr(a, c) if a is b else np.concatenate([getattr(a, c), getattr(b, c)]) for c in ("rep", "least", "copies"))
+    gain, held, n = np.zeros(len(rep), np.int64), [], 0
+    starts = np.flatnonzero(np.diff(a.cell, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(a.cell)]):
+        there = b.compared_in(a.cell[start], margin)
+        if a is b:
+            there = there[there >= start]
+        lead, x = b.lead[there], b.x[there]
+        for s in range(start, end, TILE):
+            e = min(s + TILE, end)
+            for t in range(0, len(there), TILE):
+                i, j = _near(a.lead[s:e], lead[t : t + TILE], a.x[s:e], x[t : t + TILE], cosine)
+                if not len(i):
+                    continue
+                i, j = i + s, there[t + j] + shift
+                if a is b:  # each pair once
+                    i, j = i[i < j], j[i < j]
+                np.add.at(gain, i, copies[j])
+                np.add.at(gain, j, copies[i])
+                held.append((i, j))
+                n += len(i)
+                if n > FOLD:
+                    root = _roots(len(rep), *map(np.concatenate, zip(*held)))
+                    some = np.flatnonzero(root != np.arange(len(root)))
+                    held, n = [(some, root[some])], 0
+    if not held:
+        return (rep[:0], least[:0], gain[:0], rep[:0])
+    root, some = _roots(len(rep), *map(np.concatenate, zip(*held))), gain > 0
+    return rep[some], least[some], gain[some], rep[root][some]
+
+
+def _links(blocks: DataFrame, shared, cosine: float, margin: float, width: int, tasks: int) -> DataFrame:
+    """(rep, least, gain, root): what each vector gains where two blocks meet, and a star for each group linked there."""
+    parts = ["at", "dim", "cell", "rep", "least", "copies", "raw"]
+    one, two = (blocks.coalesce(tasks).select(*[F.col(c).alias(side + c) for c in [*parts, of]]) for side, of in (("a_", "cells"), ("b_", "visits")))
+    met = one.hint("shuffle_replicate_nl").join(
+        two, (F.col("a_dim") == F.col("b_dim")) & (F.col("a_at") <= F.col("b_at")) & F.arrays_overlap("a_cells", "b_visits")
+    )
+
+    def run(batches):
+        ready = {}
+
+        def get(batch, k, side, keep):
+            at = batch.column(f"{side}at")[k].as_py()
+            if (found := ready.get(at)) is None:
+                found = _Block({c: batch.column(side + c)[k].as_py() for c in parts}, shared.value, width)
+                if len(ready) < keep:
+                    ready[at] = found
+            return at, found
+
+        left = (None, None)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                if left[0] != batch.column("a_at")[k].as_py():
+                    left = get(batch, k, "a_", 0)
+                right = left if left[0] == batch.column("b_at")[k].as_py() else get(batch, k, "b_", READY)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _meet(left[1], right[1], cosine, margin)], names=["rep", "least", "gain", "root"])
+
+    return met.select(*[side + c for side in ("a_", "b_") for c in parts]).mapInArrow(run, "rep long, least long, gain long, root long")
 
 
 def groups(
@@ -143,51 +321,37 @@ def groups(
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for every vector; a ``margin`` below the default one can lose links."""
     margin = safe_margin(cosine) if margin is None else margin
-    unit = materialize(_unit(vectors), "units")
-    key = F.md5("unit")
+    context = vectors.sparkSession.sparkContext
+    keyed, width = _keyed(vectors)
     heads = materialize(
-        unit.where(F.col("unit").isNotNull() & F.col("vec_id").isNotNull()).groupBy(key.alias("key"))
-        .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("unit").alias("unit"))
+        keyed.where(F.col("key").isNotNull() & F.col("vec_id").isNotNull()).groupBy("key")
+        .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("raw").alias("raw"))
         .withColumn("rep", F.monotonically_increasing_id()), "heads",  # a number: two vectors may share an id
     )
-    sizes = {r["d"]: r["n"] for r in heads.groupBy((F.length("unit") / 8).cast("int").alias("d")).agg(F.count("*").alias("n")).collect()}
-    chosen = heads.orderBy("key").limit(sample).select("unit").collect() if sizes else []
-    centroids = {}
+    sizes = {r["d"]: r["n"] for r in heads.groupBy((F.length("raw") / width).cast("int").alias("d")).agg(F.count("*").alias("n")).collect()}
+    chosen = heads.orderBy("key").limit(sample).select("raw").collect() if sizes else []
+    cells = {}
     for d, n in sizes.items():
-        x = [np.frombuffer(r["unit"], np.float64) for r in chosen if len(r["unit"]) == 8 * d]
-        x = np.stack(x) if x else np.eye(1, d)
-        centroids[d] = fit_cells(x, int(min(CELLS, len(x) / 8 + 1, np.ceil(n / cell))))
-    placed = materialize(_assign(heads.select("rep", "copies", "unit"), centroids, margin), "cells")
-    counts = placed.groupBy("dim", "cell", "home").agg(F.count("*").alias("n"))
-    parts = counts.groupBy("dim", "cell").agg(
-        *[F.greatest(F.ceil(F.coalesce(F.max(F.when(F.col("home") == h, F.col("n"))), F.lit(1)) / BLOCK), F.lit(1)).cast("int").alias(c)
-          for h, c in ((True, "homes"), (False, "visits"))]
-    )
-    # Centroids bound the number of cells, so the table of cells is small however many vectors there are.
-    rows = placed.join(F.broadcast(parts), ["dim", "cell"]).withColumn(
-        "mine", F.pmod(F.xxhash64("rep"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("visits"))).cast("int")
-    )
-    base = ["dim", "cell", "rep", "copies", "unit"]
-    homes, visitors = rows.where("home"), rows.where(~F.col("home"))
-    task = lambda df, side, kind, i, j: df.select(*base, F.lit(side).alias("side"), F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    deal = (
-        homes.select("*", F.explode(F.sequence("mine", F.col("homes") - 1)).alias("o")).transform(lambda d: task(d, 1, "home", F.col("mine"), F.col("o")))
-        .unionByName(homes.select("*", F.explode(F.sequence(F.lit(0), "mine")).alias("o")).transform(lambda d: task(d, 2, "home", F.col("o"), F.col("mine"))))
-        .unionByName(homes.select("*", upto("visits").alias("o")).transform(lambda d: task(d, 1, "visit", F.col("mine"), F.col("o"))))
-        .unionByName(visitors.select("*", upto("homes").alias("o")).transform(lambda d: task(d, 2, "visit", F.col("o"), F.col("mine"))))
-    ).withColumn("same", (F.col("kind") == "home") & (F.col("i") == F.col("j")))
-    links = materialize(
-        deal.groupBy("dim", "cell", "kind", "i", "j").applyInArrow(lambda t: _blocks(t, cosine), "rep long, gain long, root long"), "links"
+        x = _units(b"".join([r["raw"] for r in chosen if len(r["raw"]) == width * d]), d, width)
+        x = x if len(x) else np.eye(1, d)
+        cells[d] = (fit_cells(x, int(min(CELLS, len(x) / 8 + 1, np.ceil(n / cell)))), *fit_turn(x, cosine))
+    shared = context.broadcast(cells)
+    made = sum(-(-n // max(1, _rows(d, width) * 3 // 4)) for d, n in sizes.items())
+    tasks = max(int(4 * context.defaultParallelism**0.5), sum(n * d * width for d, n in sizes.items()) // SIDE_BYTES)
+    order = ["dim", "cell", "rep"]
+    blocks = materialize(
+        _pack(_place(heads, shared, width).repartitionByRange(max(1, made), *order).sortWithinPartitions(*order), shared, margin, width)
+        .withColumn("at", F.monotonically_increasing_id()), "blocks",  # numbers in that order
     )
-    gain = links.groupBy("rep").agg(F.sum("gain").alias("gain"))
+    links = materialize(_links(blocks, shared, cosine, margin, width, tasks), "links")
     label = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    node = heads.select("key", "rep", "least", "copies").join(gain, "rep", "left").join(label, F.col("rep") == F.col("id"), "left").select(
-        "key", "least", (F.col("copies") - 1 + F.coalesce("gain", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("of")
+    linked = links.groupBy("rep").agg(F.sum("gain").alias("gain"), F.min("least").alias("least")).join(label, F.col("rep") == F.col("id"))
+    smallest = linked.groupBy("component").agg(F.min("least").alias("c"))
+    linked = linked.join(smallest, "component").select("rep", "gain", "c")
+    node = heads.select("key", "rep", "least", "copies").join(linked, "rep", "left").select(
+        "key", (F.col("copies") - 1 + F.coalesce("gain", F.lit(0))).alias("n"), F.coalesce("c", "least").alias("c")
     )
-    smallest = node.groupBy("of").agg(F.min("least").alias("c"))
-    node = node.join(smallest, "of").select("key", "n", "c")
-    out = unit.select("vec_id", F.when(F.col("unit").isNotNull() & F.col("vec_id").isNotNull(), key).alias("key")).join(node, "key", "left")
+    out = keyed.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("key")).alias("key")).join(node, "key", "left")
     return out.select(
         "vec_id", F.coalesce("n", F.lit(0)).alias("n_links"), F.coalesce("c", "vec_id").alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
